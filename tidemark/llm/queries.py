@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language, mixing
+from tidemark.llm import exact_dedup, language, mixing, ngram_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mix_sources, op6_exact_dedup, op8_language_id)
+    f.__name__: f for f in (op4_mix_sources, op6_exact_dedup, op8_language_id, op10_ngram_join)
 }
 
 ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
