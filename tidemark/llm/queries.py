@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language, mixing, ngram_join
+from tidemark.llm import decontaminate, exact_dedup, language, mixing, ngram_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
@@ -30,7 +34,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mix_sources, op6_exact_dedup, op8_language_id, op10_ngram_join)
+    f.__name__: f for f in (op4_mix_sources, op6_exact_dedup, op7_decontaminate, op8_language_id, op10_ngram_join)
 }
 
 ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
