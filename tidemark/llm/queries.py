@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, mixing, ngram_join
+from tidemark.llm import decontaminate, exact_dedup, language, mixing, ngram_join, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -34,7 +43,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mix_sources, op6_exact_dedup, op7_decontaminate, op8_language_id, op10_ngram_join)
+    f.__name__: f for f in (op1_secret_scan, op3_toxicity, op4_mix_sources, op6_exact_dedup, op7_decontaminate, op8_language_id, op10_ngram_join)
 }
 
 ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
