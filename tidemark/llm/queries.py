@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, mixing, ngram_join, secrets, toxicity
+from tidemark.llm import decontaminate, exact_dedup, html_text, language, mixing, ngram_join, secrets, toxicity, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlrules.judge_urls(pages, urlrules.fixed_rules(pages))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -38,12 +43,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_toxicity, op4_mix_sources, op6_exact_dedup, op7_decontaminate, op8_language_id, op10_ngram_join)
+    f.__name__: f for f in (op1_secret_scan, op3_toxicity, op4_mix_sources, op5_url_rules, op6_exact_dedup, op7_decontaminate, op8_language_id, op9_html_text, op10_ngram_join)
 }
 
-ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op5_url_rules": urlrules.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL}
