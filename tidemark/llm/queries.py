@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, html_text, language, mixing, ngram_join, secrets, toxicity, urlrules
+from tidemark.llm import decontaminate, exact_dedup, html_text, language, mixing, ngram_join, pii, secrets, toxicity, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -52,7 +56,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_toxicity, op4_mix_sources, op5_url_rules, op6_exact_dedup, op7_decontaminate, op8_language_id, op9_html_text, op10_ngram_join)
+    f.__name__: f for f in (op1_secret_scan, op2_pii_surrogates, op3_toxicity, op4_mix_sources, op5_url_rules, op6_exact_dedup, op7_decontaminate, op8_language_id, op9_html_text, op10_ngram_join)
 }
 
 ORACLE_SQL = {"op5_url_rules": urlrules.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL}
