@@ -1,19 +1,83 @@
-"""The corpus pipeline: a chain of operators from documents to a mix of sources."""
+"""The corpus pipeline: documents to a mix of sources, in five stages.
+
+1. language: documents whose language can't be told go.
+2. exact_dedup: one document of each group of equal texts stays.
+3. near_dedup: one document, that with the least id, of each component of
+   n-gram links (five words, Jaccard 0.8) stays.
+4. decontaminate: documents that hold a benchmark item go.
+5. mix: the rest is mixed to the target weights of its sources.
+
+All stages but the last return the columns of documents. The chain can't be put
+in SQL as a whole (stages 1, 4 and 5 can't), so ORACLE_SQL is None and the tests
+hold it against a brute-force version.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.llm.common import settle, without_ids
+from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.language import UNDETERMINED, fit, identify
+from tidemark.llm.mixing import mix_sources
+from tidemark.llm.ngram_join import link_components
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a language by cross-parsing; learned from the labelled rows that are not held out."""
+    model = fit(docs.select("doc_id", "text", "lang"))
+    judged = identify(docs, model, lang_as="_tidemark_lang", score_as="_tidemark_score")
+    return judged.filter(F.col("_tidemark_lang") != UNDETERMINED).select(*docs.columns)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that stay in their group of equal texts; a row that repeats the staying id and text stays once."""
+    judged = exact_dedup(docs)
+    gone = judged.filter("NOT kept").select("doc_id")
+    kept = without_ids(docs, gone)
+    # rows of one id: only where ids repeat is there anything to do, and only those rows move
+    twice = judged.filter("kept AND group_size > 1").groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    once = without_ids(kept, twice)
+    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again.select(*docs.columns))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that name their component, and rows without an id."""
+    linked = link_components(docs, size=5, percent=80)
+    return without_ids(docs, linked.filter("doc_id <> component_id").select("doc_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return without_ids(docs, contaminated(docs, benchmark).select("doc_id"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every row."""
+    return mix_sources(docs)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("exact_dedup", dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages, in order, to the documents under ``sf_dir``."""
+    """Apply the stages, in order, to the documents under ``sf_dir``; each but the last is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

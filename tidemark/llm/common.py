@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,6 +47,16 @@ def ensure_checkpoint_dir(df: DataFrame) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write the table as Parquet to the shared checkpoint folder and read it again."""
+    ensure_checkpoint_dir(df)
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{shared.rstrip('/')}/tidemark/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the table to the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df)

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.textblocks import mix, slices
+from tidemark.shipping import ship
 
 STEPS = 64
 SAMPLED = 16
@@ -258,6 +259,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     MIN_CHARS characters are never found; an empty table on either side gives no
     rows; other columns are ignored.
     """
+    ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     schema = "doc_id long, item_id long, distance long, similarity double, start long, stop long"
     parts: list[DataFrame] = []
