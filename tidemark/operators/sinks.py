@@ -11,21 +11,23 @@ from tidemark.functions.text import json_escape
 from tidemark.operators.envelope import to_envelope
 
 #: A Parquet layout that any reader takes: gzip, plain values, row groups of one batch.
+STRETCH = 64 << 20
 LAYOUT = {"compression": "gzip", "parquet.enable.dictionary": "false"}
 
 
 def write_parquet(changes: DataFrame, folder: str, batch_rows: int = 8192, codec: str = "gzip") -> list[str]:
     """Write ``{folder}/{binlog_file}.parquet`` per log file and return the names.
 
-    All files are written by one job: rows are dealt out by range of (file,
-    position, row) so that a large file is split and every part is in log order;
+    All files are written by one job: rows are dealt out by file and stretch of
+    ``STRETCH`` log bytes, so a large file has many writers and every part is in
+    log order (dealing by range would decode everything twice, once to sample);
     then each file's folder is put in place by a rename on the same store.
     Writing again replaces a file's whole output.
     """
     spark = changes.sparkSession
     order = ["_file", "log_pos", "event_row_index"]
     # the envelope drops the file, which names the output
-    rows = to_envelope_with_file(changes).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = to_envelope_with_file(changes).repartition("_file", F.floor(F.col("log_pos") / STRETCH)).sortWithinPartitions(*order)
     staging = f"{folder.rstrip('/')}/_staging"
     rows.write.mode("overwrite").options(**LAYOUT | {"compression": codec, "parquet.block.row.count.limit": batch_rows}).partitionBy("_file").parquet(staging)
     jvm = spark._jvm.org.apache.hadoop.fs

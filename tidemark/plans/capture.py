@@ -41,11 +41,12 @@ def run(spark: SparkSession, path: str, spec: CaptureSpec) -> dict[str, int]:
     """Read, decode and write; returns the counters. A fault stops the run before output is put in place."""
     log = start_log(spec.log_level, spec.log_file)
     found = changes(read_events(spark, path, spec), spec)
-    counted, watch = observed(found)
     if spec.output_mode == "parquet":
+        counted, watch = observed(found)
         names = write_parquet(counted, spec.parquet_output_dir, spec.parquet_batch_size)
         log.info("wrote %s", ", ".join(names) or "nothing")
+        counts = dict(watch.get)
     else:
-        print_changes(counted)
-    log.info("rows %s", watch.get["rows_processed"])
-    return dict(watch.get)
+        counts = {"rows_processed": print_changes(found)}
+    log.info("rows %s", counts["rows_processed"])
+    return counts

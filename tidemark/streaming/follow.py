@@ -33,6 +33,17 @@ def follow(events: DataFrame, spec: CaptureSpec, folder: str, checkpoint: str, a
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def catch_up(spark: SparkSession, path: str, spec: CaptureSpec, folder: str, checkpoint: str, max_events: int = 10_000) -> int:
+    """Follow the log, ``max_events`` or so at a time, until there is nothing new; returns the batches written."""
+    batches = 0
+    while True:
+        query = follow(read_stream(spark, path, spec, max_events), spec, folder, checkpoint)
+        query.awaitTermination()
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            return batches
+        batches += 1
+
+
 def windowed_counts(changes_stream: DataFrame, width: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
     """Changes per window and table of a stream of change rows; rows later than the watermark are left out."""
     timed = changes_stream.withColumn("event_time", F.timestamp_seconds("timestamp")).withWatermark("event_time", late)
