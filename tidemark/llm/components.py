@@ -6,24 +6,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import cut
 
+#: Tasks follow the edges: one for so many, whatever the session's shuffle partitions.
+EDGES_PER_TASK = 250_000
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """One star step over (a, b): neighbours are tied to the least vertex seen.
 
     The large star ties every greater neighbour of a vertex to the least vertex
     around it, the small star the lesser neighbours and the vertex itself.
     """
     if large:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b")
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
-    tied = both.join(least, "a")
+    tied = both.join(least, "a").coalesce(tasks)
     if large:
-        out = tied.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("_m").alias("b"))
-    else:
-        out = tied.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(least.select("a", F.col("_m").alias("b")))
-    return out.filter(F.col("a") != F.col("b")).distinct()
+        return tied.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("_m").alias("b"))
+    pairs = tied.select(F.explode(F.array(F.struct("b", "_m"), F.struct(F.col("a").alias("b"), "_m"))).alias("e"))
+    return pairs.select(F.col("e.b").alias("a"), F.col("e._m").alias("b")).filter(F.col("a") != F.col("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,10 +38,11 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
-        now = cut(_star(_star(now, True), False))
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == before:
             break
         before = tuple(state)
+        tasks = 1 + state[0] // EDGES_PER_TASK
+        now = cut(_star(_star(now.coalesce(tasks), True, tasks), False, tasks).distinct().coalesce(tasks))
     roots = now.select(F.col("b").alias("vertex")).distinct().withColumn("root", F.col("vertex"))
     return now.select(F.col("a").alias("vertex"), F.col("b").alias("root")).unionByName(roots)
