@@ -9,7 +9,9 @@ from tidemark.operators.filters import admitted, in_range, kept_event
 from tidemark.operators.metrics import observed
 from tidemark.operators.rows import expand
 from tidemark.operators.sinks import print_changes, start_log, write_parquet
+from tidemark.shipping import ship
 from tidemark.sources.binlog import register
+from tidemark.sources.replication import ReplicationSource
 from tidemark.spec import CaptureSpec
 
 
@@ -26,6 +28,17 @@ def read_events(spark: SparkSession, path: str, spec: CaptureSpec | None = None)
     return reader.load()
 
 
+def replicated_events(spark: SparkSession, spec: CaptureSpec, verify: bool = True) -> DataFrame:
+    """Events straight from the spec's server, up to its stop or the log's end, in one partition."""
+    ship(spark)
+    spark.dataSource.register(ReplicationSource)
+    reader = spark.read.format("replication").options(host=spec.host, port=spec.port, user=spec.user, password=spec.password, database=spec.database, ssl=spec.ssl, ssl_verify=verify, from_file=spec.from_binlog_file, from_pos=spec.from_binlog_position)
+    for name, value in (("to_file", spec.to_binlog_file), ("to_pos", spec.to_binlog_position)):
+        if value is not None:
+            reader = reader.option(name, value)
+    return reader.load()
+
+
 def changes(events: DataFrame, spec: CaptureSpec) -> DataFrame:
     """Change rows within the range for the tables that the rules admit.
 
@@ -37,10 +50,13 @@ def changes(events: DataFrame, spec: CaptureSpec) -> DataFrame:
     return expand(bound.filter(admitted(spec.rules, F.col("table.database"), F.col("table.table_name"))))
 
 
-def run(spark: SparkSession, path: str, spec: CaptureSpec) -> dict[str, int]:
-    """Read, decode and write; returns the counters. A fault stops the run before output is put in place."""
+def run(spark: SparkSession, path: str | None, spec: CaptureSpec) -> dict[str, int]:
+    """Read (log files at a path, else the spec's server), decode and write; returns the counters.
+
+    A fault stops the run before output is put in place.
+    """
     log = start_log(spec.log_level, spec.log_file)
-    found = changes(read_events(spark, path, spec), spec)
+    found = changes(read_events(spark, path, spec) if path else replicated_events(spark, spec), spec)
     if spec.output_mode == "parquet":
         counted, watch = observed(found)
         names = write_parquet(counted, spec.parquet_output_dir, spec.parquet_batch_size)
