@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.schema import CHANGES
 from tidemark.shipping import ship
-from tidemark.sources.wire import WireError, image_json, read_rows
+from tidemark.sources.wire import WireError, read_rows_json
 
 _OUT = pa.schema([("binlog_file", pa.string()), ("timestamp", pa.int64()), ("server_id", pa.int32()), ("log_pos", pa.int64()), ("event_row_index", pa.int64()), ("database", pa.string()), ("table_name", pa.string()), ("dml_type", pa.string()), ("before_values", pa.string()), ("after_values", pa.string()), ("_error", pa.string())])
 #: Rows sent back at once; an event of many rows does not pile up.
@@ -37,9 +37,8 @@ def expand(bound: DataFrame, unsigned: dict[str, tuple[int, ...]] | None = None)
                 base, tail = (e["binlog_file"], e["timestamp"], server, e["log_pos"]), (t["database"], t["table_name"])
                 index, dml = 0, None
                 try:
-                    for row in read_rows(e["event_type"], e["data"], types, metas, e["version_two"], wide.get(f"{tail[0]}.{tail[1]}", frozenset())):
-                        index, dml = row.index, row.dml
-                        held.append((*base, index, *tail, dml, row.before and image_json(row.before), row.after and image_json(row.after), None))
+                    for index, dml, before, after in read_rows_json(e["event_type"], e["data"], types, metas, e["version_two"], wide.get(f"{tail[0]}.{tail[1]}", frozenset())):
+                        held.append((*base, index, *tail, dml, before, after, None))
                         if len(held) >= OUT_ROWS:
                             yield _batch(held)
                             held = []
