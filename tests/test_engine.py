@@ -126,7 +126,7 @@ def test_parquet_sink(spark, log, tmp_path):
 def test_stdout(spark, log, capsys):
     assert run(spark, log, SPEC)["rows_processed"] == 7
     out = capsys.readouterr().out
-    assert out.startswith("[INSERT] shop.items\n") and "  before: " in out
+    assert out.startswith("[INSERT] shop.items\n") and "  columns: LONG, VARCHAR\n  after: 0, 'i0'\n" in out and "  before: 2, NULL\n  after: 2, 'c'\n" in out
 
 
 def test_stream_is_exactly_once(spark, log, tmp_path):

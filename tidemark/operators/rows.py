@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.schema import CHANGES
+from tidemark.schema import CHANGES, TYPE_NAMES
 from tidemark.shipping import ship
-from tidemark.sources.wire import WireError, read_rows_json
+from tidemark.sources.wire import WireError, read_rows, read_rows_json, value_display
 
 _OUT = pa.schema([("binlog_file", pa.string()), ("timestamp", pa.int64()), ("server_id", pa.int32()), ("log_pos", pa.int64()), ("event_row_index", pa.int64()), ("database", pa.string()), ("table_name", pa.string()), ("dml_type", pa.string()), ("before_values", pa.string()), ("after_values", pa.string()), ("_error", pa.string())])
 #: Rows sent back at once; an event of many rows does not pile up.
@@ -53,5 +53,35 @@ def expand(bound: DataFrame, unsigned: dict[str, tuple[int, ...]] | None = None)
     return known.select("binlog_file", "timestamp", "server_id", "log_pos", "event_type", "data", "table", "version_two", "dml_type").mapInArrow(read, CHANGES)
 
 
+def display(bound: DataFrame) -> DataFrame:
+    """The text sink's blocks: binlog_file, log_pos, event_row_index, and ``value`` with a row's types and values.
+
+    A fault in an event ends its rows with a block that says so.
+    """
+    ship(bound.sparkSession)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for e in batch.to_pylist():
+                t = e["table"]
+                types, metas = tuple(c["type"] for c in t["columns"]), tuple(c["meta"] for c in t["columns"])
+                name, index = f"{t['database']}.{t['table_name']}", 0
+                where = f"  at: {e['binlog_file']}:{e['log_pos']} row "
+                rest = f"  server: {e['server_id']}  time: {e['timestamp']}\n  columns: {', '.join(TYPE_NAMES.get(k, 'UNKNOWN') for k in types)}"
+                try:
+                    for row in read_rows(e["event_type"], e["data"], types, metas, e["version_two"]):
+                        index = row.index
+                        images = "".join(f"\n  {label}: {', '.join(map(value_display, values))}" for label, values in (("before", row.before), ("after", row.after)) if values is not None)
+                        out.append((e["binlog_file"], e["log_pos"], index, f"[{row.dml}] {name}\n{where}{index}\n{rest}{images}"))
+                except WireError as fault:
+                    out.append((e["binlog_file"], e["log_pos"], index + 1, f"[UNREADABLE] {name}\n{where}{index + 1}\n  {fault}"))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["binlog_file", "log_pos", "event_row_index", "value"])
+
+    known = bound.filter(F.col("table").isNotNull())
+    return known.select("binlog_file", "timestamp", "server_id", "log_pos", "event_type", "data", "table", "version_two").mapInArrow(read, "binlog_file string, log_pos long, event_row_index long, value string")
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)], schema=_OUT)

@@ -73,11 +73,10 @@ def write_text(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
-def print_changes(changes: DataFrame) -> int:
-    """Print change rows to standard output in log order, a partition at a time; returns how many."""
-    ordered = changes.orderBy("binlog_file", "log_pos", "event_row_index")
+def print_blocks(blocks: DataFrame) -> int:
+    """Print blocks to standard output in log order, a partition at a time; returns how many."""
     count = 0
-    for row in change_text(ordered).toLocalIterator():
+    for row in blocks.orderBy("binlog_file", "log_pos", "event_row_index").select("value").toLocalIterator():
         sys.stdout.write(row[0] + "\n")
         count += 1
     return count
@@ -98,4 +97,4 @@ def start_log(level: str = "info", file: str | None = None) -> logging.Logger:
     return log
 
 
-__all__ = ["LAYOUT", "change_text", "event_text", "log_lines", "print_changes", "start_log", "to_envelope", "write_parquet", "write_text"]
+__all__ = ["LAYOUT", "change_text", "event_text", "log_lines", "print_blocks", "start_log", "to_envelope", "write_parquet", "write_text"]

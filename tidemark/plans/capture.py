@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.bind import bind
 from tidemark.operators.filters import admitted, in_range, kept_event
 from tidemark.operators.metrics import observed
-from tidemark.operators.rows import expand
-from tidemark.operators.sinks import print_changes, start_log, write_parquet
+from tidemark.operators.rows import display, expand
+from tidemark.operators.sinks import print_blocks, start_log, write_parquet
 from tidemark.shipping import ship
 from tidemark.sources.binlog import register
 from tidemark.sources.replication import ReplicationSource
@@ -39,15 +39,20 @@ def replicated_events(spark: SparkSession, spec: CaptureSpec, verify: bool = Tru
     return reader.load()
 
 
-def changes(events: DataFrame, spec: CaptureSpec) -> DataFrame:
-    """Change rows within the range for the tables that the rules admit.
+def selected(events: DataFrame, spec: CaptureSpec) -> DataFrame:
+    """Bound row events within the range, of the tables that the rules admit.
 
     Catalyst can't push a predicate through the decoder, so range, event kind
     and table rules stand before it: what is left out is never decoded.
     """
     # table maps before the start position are still needed, so only rows are cut to the range
     bound = in_range(bind(events.filter(kept_event(F.col("event_type")))), spec)
-    return expand(bound.filter(admitted(spec.rules, F.col("table.database"), F.col("table.table_name"))))
+    return bound.filter(admitted(spec.rules, F.col("table.database"), F.col("table.table_name")))
+
+
+def changes(events: DataFrame, spec: CaptureSpec) -> DataFrame:
+    """Change rows of the selected events."""
+    return expand(selected(events, spec))
 
 
 def run(spark: SparkSession, path: str | None, spec: CaptureSpec) -> dict[str, int]:
@@ -56,13 +61,13 @@ def run(spark: SparkSession, path: str | None, spec: CaptureSpec) -> dict[str, i
     A fault stops the run before output is put in place.
     """
     log = start_log(spec.log_level, spec.log_file)
-    found = changes(read_events(spark, path, spec) if path else replicated_events(spark, spec), spec)
+    events = read_events(spark, path, spec) if path else replicated_events(spark, spec)
     if spec.output_mode == "parquet":
-        counted, watch = observed(found)
+        counted, watch = observed(changes(events, spec))
         names = write_parquet(counted, spec.parquet_output_dir, spec.parquet_batch_size)
         log.info("wrote %s", ", ".join(names) or "nothing")
         counts = dict(watch.get)
     else:
-        counts = {"rows_processed": print_changes(found)}
+        counts = {"rows_processed": print_blocks(display(selected(events, spec)))}
     log.info("rows %s", counts["rows_processed"])
     return counts
