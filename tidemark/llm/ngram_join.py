@@ -16,7 +16,7 @@ lesser l of the two before it counts as a candidate.
 Lists of at most ``list_bound`` classes are paired; a longer list (only sets made
 almost wholly of common n-grams have those) ties its classes to a node that
 stands for the n-gram. Components of that candidate graph are clusters; each
-class's whole set goes to its cluster, where exact overlaps are counted by matrix
+class's whole set goes to its cluster once (a third reading of the texts), where exact overlaps are counted by matrix
 products, block against block, and a spanning forest of the exact links comes
 out. So pairs within a group are never listed, and no link is lost.
 """
@@ -133,7 +133,7 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
         sent: set[bytes] = set()
         for batch in batches:
             for part, raw, offsets in slices(batch, "text"):
-                cls, n, level, lists, hots, sets = [], [], [], [], [], []
+                cls, n, level, lists, hots = [], [], [], [], []
                 for s in shingle_sets(raw, offsets, size):
                     name = _digest(s)
                     if not len(s) or name in sent:
@@ -149,18 +149,16 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
                         level.append(l)
                         lists.append(some[may].view(np.int64))
                         hots.append(hot[may])
-                        sets.append(s.tobytes())
                 if cls:
-                    yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(level, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array([h.tolist() for h in hots], pa.list_(pa.bool_())), pa.array(sets, pa.binary())], names=["cls", "n", "level", "tokens", "hot", "set"])
+                    yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(level, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array([h.tolist() for h in hots], pa.list_(pa.bool_()))], names=["cls", "n", "level", "tokens", "hot"])
 
     # pass 2: prefixes, one row per class that may have a partner
-    second = cut(texts.mapInArrow(prefixes, "cls binary, n long, level long, tokens array<long>, hot array<boolean>, set binary").dropDuplicates(["cls"]))
+    second = cut(texts.mapInArrow(prefixes, "cls binary, n long, level long, tokens array<long>, hot array<boolean>").dropDuplicates(["cls"]))
     lists = second.select("cls", "n", "level", F.explode(F.arrays_zip("tokens", "hot")).alias("_t")).select("cls", "n", "level", F.col("_t.tokens").alias("token"), F.col("_t.hot").alias("hot"))
     nodes = lists.filter("hot").select(F.col("cls").alias("a"), F.concat(F.lit(b"\xff"), F.unhex(F.lpad(F.hex("token"), 16, "0"))).alias("b"))
     candidates = _candidates(lists.filter(~F.col("hot")).drop("hot"), list_bound, percent)
     clusters = components(candidates.unionByName(nodes))
-    links = _links(second.select("cls", "n", "set"), clusters, percent)
-    return _name(rows, components(links))
+    return _name(rows, components(_links(texts, size, clusters, percent, seen_bits)))
 
 
 def _bit_table(df: DataFrame, most: int) -> np.ndarray:
@@ -229,13 +227,32 @@ def _candidates(lists: DataFrame, list_bound: int, percent: int) -> DataFrame:
     return found.groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.max("need").alias("need")).filter("hits >= need").select("a", "b")
 
 
-def _links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of a forest that spans every component of the exact links."""
-    clusters = clusters.filter(F.length("vertex") == 16).select(F.col("vertex").alias("cls"), "root")
-    members = sets.select("cls").join(clusters, "cls")
+def _links(texts: DataFrame, size: int, clusters: DataFrame, percent: int, seen_bits: int) -> DataFrame:
+    """Edges (a, b) of a forest that spans every component of the exact links.
+
+    Pass 3 over the texts: only sets of classes in clusters are sent, which a
+    broadcast bit table tells, each once a task.
+    """
+    members = clusters.filter(F.length("vertex") == 16).select(F.col("vertex").alias("cls"), "root")
     sizes = keep(members.groupBy("root").agg(F.count("*").alias("_size")).filter("_size > 1"))
     total = sizes.agg(F.sum("_size")).first()[0] or 0
-    members = join_groups(members, sizes, "root", "_size", total).join(sets.select("cls", "set"), "cls")
+    members = keep(join_groups(members, sizes, "root", "_size", total))
+    table = _bit_table(members.select(F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long").alias("token")), seen_bits)
+    wanted = texts.sparkSession.sparkContext.broadcast(table)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, sent = Bits(wanted.value), set()
+        for batch in batches:
+            for _, raw, offsets in slices(batch, "text"):
+                found = {_digest(s): s for s in shingle_sets(raw, offsets, size) if len(s)}
+                first = np.array([int.from_bytes(name[:8], "big") for name in found], np.uint64)
+                out = [(name, s.tobytes()) for (name, s), w in zip(found.items(), bits.has(first)) if w and name not in sent]
+                if len(sent) < 100_000:
+                    sent.update(name for name, _ in out)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "set"])
+
+    members = texts.select("text").mapInArrow(sets, "cls binary, set binary").join(members, "cls").dropDuplicates(["cls"])
     side = F.ceil(F.col("_size") / CLUSTER_BLOCK).cast("int")
     members = members.withColumn("_k", side).withColumn("_own", F.pmod(F.xxhash64("cls"), F.col("_k")).cast("int"))
     # a member of block i takes part in every meeting (i, j) and (j, i)
