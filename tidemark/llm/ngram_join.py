@@ -43,6 +43,11 @@ def _digest(tokens: np.ndarray) -> bytes:
     return np.array([len(tokens) and int(np.add.reduce(mix(tokens ^ np.uint64(k)))) for k in (0x243F6A88, 0x85A308D3)], np.uint64).tobytes()
 
 
+def _short(digest: bytes) -> int:
+    """64 bits of a class's name, as a long. Candidates go by these: classes that share one only share a cluster."""
+    return int.from_bytes(digest[:8], "big", signed=True)
+
+
 class Bits:
     """A set of 64-bit hashes as a bit table of 2^k places; it may also say yes to others."""
 
@@ -144,21 +149,21 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
                     # n-grams of the counted share that only one document has can match nothing
                     may = (some >= edge) | bits.has(some)
                     if may.sum() >= min(l, _least_level(len(s), percent)):
-                        cls.append(name)
+                        cls.append(_short(name))
                         n.append(len(s))
                         level.append(l)
                         lists.append(some[may].view(np.int64))
                         hots.append(hot[may])
                 if cls:
-                    yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(level, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array([h.tolist() for h in hots], pa.list_(pa.bool_()))], names=["cls", "n", "level", "tokens", "hot"])
+                    yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int32()), pa.array(level, pa.int32()), pa.array(lists, pa.list_(pa.int64())), pa.array([h.tolist() for h in hots], pa.list_(pa.bool_()))], names=["cls", "n", "level", "tokens", "hot"])
 
     # pass 2: prefixes, one row per class that may have a partner
-    second = cut(texts.mapInArrow(prefixes, "cls binary, n long, level long, tokens array<long>, hot array<boolean>").dropDuplicates(["cls"]))
+    second = cut(texts.mapInArrow(prefixes, "cls long, n int, level int, tokens array<long>, hot array<boolean>").dropDuplicates(["cls", "n", "tokens"]))
     lists = second.select("cls", "n", "level", F.explode(F.arrays_zip("tokens", "hot")).alias("_t")).select("cls", "n", "level", F.col("_t.tokens").alias("token"), F.col("_t.hot").alias("hot"))
-    nodes = lists.filter("hot").select(F.col("cls").alias("a"), F.concat(F.lit(b"\xff"), F.unhex(F.lpad(F.hex("token"), 16, "0"))).alias("b"))
+    nodes = lists.filter("hot").select(F.col("cls").alias("a"), F.col("token").alias("b"))
     candidates = _candidates(lists.filter(~F.col("hot")).drop("hot"), list_bound, percent)
     clusters = components(candidates.unionByName(nodes))
-    return _name(rows, components(_links(texts, size, clusters, percent, seen_bits)))
+    return _name(rows, components(_links(texts, size, second.select("cls"), clusters, percent, seen_bits)))
 
 
 def _bit_table(df: DataFrame, most: int) -> np.ndarray:
@@ -185,8 +190,8 @@ def _candidates(lists: DataFrame, list_bound: int, percent: int) -> DataFrame:
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         token, long = None, False
-        pairs: dict[tuple[bytes, bytes], list[int]] = {}
-        ties: list[tuple[bytes, bytes]] = []
+        pairs: dict[tuple[int, int], list[int]] = {}
+        ties: list[tuple[int, int]] = []
 
         def close() -> None:
             if long:
@@ -204,7 +209,7 @@ def _candidates(lists: DataFrame, list_bound: int, percent: int) -> DataFrame:
                 need = [v[1] for v in pairs.values()] + [0] * len(ties)
                 pairs.clear()
                 ties.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(hits, pa.int64()), pa.array(need, pa.int64())], names=["a", "b", "hits", "need"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(hits, pa.int64()), pa.array(need, pa.int64())], names=["a", "b", "hits", "need"])
 
         for batch in batches:
             for cls, n, l, t in zip(*(batch.column(c).to_pylist() for c in ("cls", "n", "level", "token"))):
@@ -214,30 +219,31 @@ def _candidates(lists: DataFrame, list_bound: int, percent: int) -> DataFrame:
                     yield from out(100_000)
                 if not long and len(held) >= list_bound:
                     long = True
-                    ties.extend((x[0], b"\xfe" + t.to_bytes(8, "big", signed=True)) for x in held)
+                    ties.extend((x[0], t) for x in held)
                     held = []
                 if long:
-                    ties.append((cls, b"\xfe" + t.to_bytes(8, "big", signed=True)))
+                    ties.append((cls, t))
                 else:
                     held.append((cls, n, l))
         close()
         yield from out(0)
 
-    found = sorted_lists.mapInArrow(pair, "a binary, b binary, hits long, need long")
+    found = sorted_lists.mapInArrow(pair, "a long, b long, hits long, need long")
     return found.groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.max("need").alias("need")).filter("hits >= need").select("a", "b")
 
 
-def _links(texts: DataFrame, size: int, clusters: DataFrame, percent: int, seen_bits: int) -> DataFrame:
+def _links(texts: DataFrame, size: int, classes: DataFrame, clusters: DataFrame, percent: int, seen_bits: int) -> DataFrame:
     """Edges (a, b) of a forest that spans every component of the exact links.
 
     Pass 3 over the texts: only sets of classes in clusters are sent, which a
     broadcast bit table tells, each once a task.
     """
-    members = clusters.filter(F.length("vertex") == 16).select(F.col("vertex").alias("cls"), "root")
+    # n-grams that stand for long lists are vertices too; only classes have sets
+    members = clusters.select(F.col("vertex").alias("short"), "root").join(classes.select(F.col("cls").alias("short")), "short", "left_semi")
     sizes = keep(members.groupBy("root").agg(F.count("*").alias("_size")).filter("_size > 1"))
     total = sizes.agg(F.sum("_size")).first()[0] or 0
     members = keep(join_groups(members, sizes, "root", "_size", total))
-    table = _bit_table(members.select(F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long").alias("token")), seen_bits)
+    table = _bit_table(members.select(F.col("short").alias("token")), seen_bits)
     wanted = texts.sparkSession.sparkContext.broadcast(table)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,14 +251,14 @@ def _links(texts: DataFrame, size: int, clusters: DataFrame, percent: int, seen_
         for batch in batches:
             for _, raw, offsets in slices(batch, "text"):
                 found = {_digest(s): s for s in shingle_sets(raw, offsets, size) if len(s)}
-                first = np.array([int.from_bytes(name[:8], "big") for name in found], np.uint64)
-                out = [(name, s.tobytes()) for (name, s), w in zip(found.items(), bits.has(first)) if w and name not in sent]
+                first = np.array([_short(name) for name in found], np.int64).view(np.uint64)
+                out = [(name, _short(name), s.tobytes()) for (name, s), w in zip(found.items(), bits.has(first)) if w and name not in sent]
                 if len(sent) < 100_000:
-                    sent.update(name for name, _ in out)
+                    sent.update(o[0] for o in out)
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "set"])
+                    yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["cls", "short", "set"])
 
-    members = texts.select("text").mapInArrow(sets, "cls binary, set binary").join(members, "cls").dropDuplicates(["cls"])
+    members = texts.select("text").mapInArrow(sets, "cls binary, short long, set binary").join(members, "short").dropDuplicates(["short", "cls"])
     side = F.ceil(F.col("_size") / CLUSTER_BLOCK).cast("int")
     members = members.withColumn("_k", side).withColumn("_own", F.pmod(F.xxhash64("cls"), F.col("_k")).cast("int"))
     # a member of block i takes part in every meeting (i, j) and (j, i)
