@@ -88,6 +88,18 @@ def test_articles_published_twice_stay(spark):
     assert {r.text for r in html_text.extract_text(df).collect()} == {"T\nthe same"}
 
 
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_recurring_blocks_go_wherever_they_stand(spark, bound):
+    """Text blocks in the article, an article that is all boilerplate, and copies that must stay whole."""
+    one = [(k, "http://a.com/", f"<div>Our site</div><article><h1>T {k}</h1><p>text {k}<p>All rights reserved.<ul><li>Print<li>item {k}</ul><table><tr><td>yes<td>{k}</table><h2>See also</h2></article>") for k in range(10)]
+    two = [(100 + k, "http://b.com/", f"<article><p>About us</article><article><p>more {k % 7}</article><main><div>m {k}</div></main>") for k in range(10)]
+    two += [(120 + k, "http://b.com/", f"<article><p>About us</article><main><div>m {k}</div></main>") for k in range(2)]
+    copies = [(200 + k, "http://c.com/", f"<div class=sidebar>{k}</div><section><article><h1>T</h1><div>d</div><p>the same</article></section><aside>{k}</aside>") for k in range(20)]
+    df = spark.createDataFrame(one + two + copies, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(df, broadcast_rows=bound).collect()}
+    assert got == {k: f"T {k}\ntext {k}\nitem {k}\nyes\n{k}" for k in range(10)} | {100 + k: f"more {k % 7}" for k in range(10)} | {120 + k: f"m {k}" for k in range(2)} | {200 + k: "T\nd\nthe same" for k in range(20)}
+
+
 def luhn(digits):
     return sum(d if k % 2 == 0 else (2 * d if d < 5 else 2 * d - 9) for k, d in enumerate(map(int, reversed(digits)))) % 10
 

@@ -1,14 +1,18 @@
 """Main text of HTML pages, without what a site repeats.
 
-A page is parsed into elements; what is no content by its kind (navigation,
+A page is parsed into elements, and every block's subtree (its tags and text) is
+hashed, over the whole body and before any other rule: containers, text blocks
+and what is no content by its kind alike. Spark counts how many of the host's
+pages hold each hash, and on a second reading the subtrees that recur on many of
+them are deleted. Then what is no content by its kind or marks (navigation,
 headers and footers of the page, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) is left out. The rest may still hold a site's template.
-So every container element's subtree (its tags and text) is hashed, Spark counts
-on how many pages of the host each hash occurs, and on a second reading the
-subtrees that recur on many of the host's pages are deleted. Text blocks
-themselves (paragraphs, headings, list items, cells) are never deleted for
-recurring, and neither is the page's article or main element, so that articles
-published twice stay whole.
+styles, reader comments) is left out, and the articles that still hold text, else
+the main elements, else the page are its content.
+
+Pages of a host with equal content count as one, so that an article published
+many times stays whole; for the same reason an element that holds an article or
+main element is never deleted as a whole. Cells are judged by their row. A
+paragraph that stands directly in the body stays.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ RAW = frozenset("script style template noscript iframe textarea title svg math o
 #: Elements that are no content, whatever they hold.
 DROP = frozenset("head script style template noscript iframe textarea title svg math object canvas nav footer aside form button select input dialog menu".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-TEXT_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption blockquote pre summary".split())
+CELLS = frozenset("td th".split())
 KEPT = frozenset("html body article main".split())
 #: Words in an element's id, class or role that mark it as no content.
 MARKS = frozenset(
@@ -49,10 +53,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parts", "drop", "hash")
+    __slots__ = ("tag", "parts", "drop", "hash", "filled", "fixed")
 
     def __init__(self, tag: str, drop: bool = False) -> None:
         self.tag, self.drop, self.hash = tag, drop, 0
+        #: whether there is text in it, and whether it is never deleted for recurring
+        self.filled, self.fixed = False, tag in KEPT or tag in CELLS
         self.parts: list[Node | str] = []
 
 
@@ -132,45 +138,57 @@ def parse(html: str) -> Node:
     return root
 
 
-def _hashes(node: Node) -> list[int]:
-    """Give every subtree its hash; return those of containers that a template could be."""
+def _hashes(root: Node) -> list[int]:
+    """Give every subtree its hash, without what is dropped in it; return those that a template could be."""
     out: list[int] = []
-    todo: list[tuple[Node, int, xxhash.xxh64]] = [(node, 0, xxhash.xxh64(node.tag))]
-    while todo:
-        now, k, h = todo.pop()
-        while k < len(now.parts):
-            part = now.parts[k]
-            k += 1
-            if isinstance(part, str):
-                text = _SPACE.sub(" ", part).strip()
-                if text:
-                    h.update(b"\x01" + text.encode(errors="replace"))
-            elif not part.drop:
-                todo.append((now, k, h))
-                now, k, h = part, 0, xxhash.xxh64(part.tag)
-        h.update(b"\x02")
-        value = now.hash = h.intdigest() - (1 << 63)
-        if removable(now):
-            out.append(value)
-        if todo:
-            todo[-1][2].update(value.to_bytes(8, "big", signed=True))
+    roots = [root]
+    while roots:
+        node = roots.pop()
+        todo: list[tuple[Node, int, xxhash.xxh64]] = [(node, 0, xxhash.xxh64(node.tag))]
+        while todo:
+            now, k, h = todo.pop()
+            while k < len(now.parts):
+                part = now.parts[k]
+                k += 1
+                if isinstance(part, str):
+                    text = _SPACE.sub(" ", part).strip()
+                    if text:
+                        now.filled = True
+                        h.update(b"\x01" + text.encode(errors="replace"))
+                elif part.drop:
+                    roots.append(part)
+                else:
+                    part.fixed = part.fixed or part.tag == "p" and now.tag in ("", "html", "body")
+                    todo.append((now, k, h))
+                    now, k, h = part, 0, xxhash.xxh64(part.tag)
+            h.update(b"\x02")
+            value = now.hash = h.intdigest() - (1 << 63)
+            if removable(now):
+                out.append(value)
+            if todo:
+                above = todo[-1][0]
+                above.filled |= now.filled
+                above.fixed |= now.tag in ("article", "main") or now.fixed and now.tag not in CELLS and now.tag not in KEPT
+                todo[-1][2].update(value.to_bytes(8, "big", signed=True))
     return out
 
 
 def removable(node: Node) -> bool:
-    return node.tag in BLOCK and node.tag not in TEXT_BLOCK and node.tag not in KEPT
+    """Whether a hashed element goes if it recurs."""
+    return node.filled and not node.fixed and (node.tag in BLOCK or node.drop)
 
 
-def _content(root: Node) -> list[Node]:
-    """The outermost articles, else the outermost main elements, else the page."""
+def _content(root: Node, gone: frozenset[int] = frozenset()) -> list[Node]:
+    """The outermost articles that hold text, else the outermost such main elements, else the page."""
     for tag in ("article", "main"):
         found, todo = [], [root]
         while todo:
             now = todo.pop()
-            if now.drop:
+            if now.drop or id(now) in gone:
                 continue
             if now.tag == tag:
-                found.append(now)
+                if not gone or _holds_text(now, gone):
+                    found.append(now)
                 continue
             todo.extend(p for p in reversed(now.parts) if not isinstance(p, str))
         if found:
@@ -178,9 +196,26 @@ def _content(root: Node) -> list[Node]:
     return [root]
 
 
-def subtree_hashes(html: str) -> list[int]:
-    """Distinct hashes of the content's removable subtrees."""
-    return sorted({h for node in _content(parse(html)) for h in _hashes(node)})
+def _holds_text(node: Node, gone: frozenset[int]) -> bool:
+    todo = [node]
+    while todo:
+        now = todo.pop()
+        if now.drop or id(now) in gone:
+            continue
+        if any(isinstance(p, str) and p.strip() for p in now.parts):
+            return True
+        todo.extend(p for p in now.parts if not isinstance(p, str))
+    return False
+
+
+def subtree_hashes(html: str) -> tuple[list[int], int]:
+    """Distinct hashes of the page's removable subtrees, and the hash of its content."""
+    root = parse(html)
+    found = sorted(set(_hashes(root)))
+    content = xxhash.xxh64()
+    for node in _content(root):
+        content.update(node.hash.to_bytes(8, "big", signed=True))
+    return found, content.intdigest() - (1 << 63)
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
@@ -194,8 +229,9 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
         if text:
             blocks.append(text)
 
-    for content in _content(parse(html)):
-        gone = _template_nodes(content, template) if template else frozenset()
+    root = parse(html)
+    gone = _template_nodes(root, template) if template else frozenset()
+    for content in _content(root, gone):
         todo: list[tuple[Node, int]] = [(content, 0)]
         while todo:
             now, k = todo.pop()
@@ -219,13 +255,13 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
     return "\n".join(blocks)
 
 
-def _template_nodes(content: Node, template: frozenset[int]) -> frozenset[int]:
-    _hashes(content)
-    gone, todo = set(), [content]
+def _template_nodes(root: Node, template: frozenset[int]) -> frozenset[int]:
+    _hashes(root)
+    gone, todo = set(), [root]
     while todo:
         now = todo.pop()
         for part in now.parts:
-            if isinstance(part, str) or part.drop:
+            if isinstance(part, str):
                 continue
             if removable(part) and part.hash in template:
                 gone.add(id(part))
@@ -234,13 +270,15 @@ def _template_nodes(content: Node, template: frozenset[int]) -> frozenset[int]:
     return frozenset(gone)
 
 
-def extract_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.3, salts: int = 32) -> DataFrame:
+def extract_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.3, salts: int = 32, broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     A subtree is template if it is on at least ``least_pages`` pages of the host
-    and on ``least_share`` of them; a host has at most (subtrees of a page) /
-    ``least_share`` of those, and they travel to the pages in one array per host,
-    copied over ``salts`` so that a host with most pages is not one task.
+    and on ``least_share`` of them, where pages with equal content are one page; a
+    host has at most (subtrees of a page) / ``least_share`` of those. They are
+    broadcast to the pages if a count shows at most ``broadcast_rows`` of them (8
+    bytes each); beyond that they travel in one array per host, copied over
+    ``salts`` so that a host with most pages is not one task.
     Defined cases: null and empty html give an empty text; a null url counts as
     the host of all urls without one; broken markup is read to its end; repeated
     rows are pages of their own; an empty table gives no rows; other columns are
@@ -253,13 +291,16 @@ def extract_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [subtree_hashes(h) for h in batch.column("html").to_pylist()]
-            hosts = batch.column("host").take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
-            yield pa.RecordBatch.from_arrays([hosts, pa.array([x for f in found for x in f], pa.int64())], names=["host", "subtree"])
-
-    sizes = work.groupBy("host").agg(F.count("*").alias("_pages"))
-    counts = work.select("html", "host").mapInArrow(hashed, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("_on")).filter(F.col("_on") >= least_pages)
-    template = counts.join(sizes, "host").filter(F.col("_on") >= least_share * F.col("_pages")).groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("_template"))
-    template = keep(template)
+            # every page has a row without a subtree besides: its host's pages are counted by it
+            own = np.repeat(np.arange(len(found)), [len(f) + 1 for f, _ in found])
+            content = np.array([c for _, c in found], np.int64)[own]
+            yield pa.RecordBatch.from_arrays([batch.column("host").take(pa.array(own)), pa.array([x for f, _ in found for x in (*f, None)], pa.int64()), pa.array(content)], names=["host", "subtree", "content"])
+
+    counts = work.select("html", "host").mapInArrow(hashed, "host string, subtree long, content long").groupBy("host", "subtree").agg(F.count_distinct("content").alias("_on"))
+    counts = keep(counts.filter(F.col("_on") >= least_pages))
+    sizes = counts.filter("subtree IS NULL").select("host", F.col("_on").alias("_pages"))
+    template = counts.filter("subtree IS NOT NULL").join(sizes, "host").filter(F.col("_on") >= least_share * F.col("_pages"))
+    template = keep(template.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("_template")))
     schema = "page_id long, url string, text string, n_chars long"
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +309,12 @@ def extract_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.
             texts = [main_text(h, frozenset(g or ())) for h, g in zip(batch.column("html").to_pylist(), gone)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    if template.isEmpty():
+    rows = template.agg(F.sum(F.size("_template"))).first()[0]
+    if not rows:
         return work.select("page_id", "url", "html").mapInArrow(extracted, schema)
+    if rows <= broadcast_rows:
+        joined = work.join(F.broadcast(template), "host", "left")
+        return joined.select("page_id", "url", "html", "_template").mapInArrow(extracted, schema)
     spread = template.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("host", "_host")
     salted = work.withColumn("_mine", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     joined = salted.join(spread, (F.col("host") == F.col("_host")) & (F.col("_mine") == F.col("_salt")), "left")
