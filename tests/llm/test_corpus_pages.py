@@ -64,6 +64,8 @@ CASES = [
     ("<div class='cookie-notice'>c</div><div id=sidebar>s</div><div>keep</div>", "keep"), ("<article><header><h1>T</h1></header><form>f</form><section class='comments'><p>r</p></section><p>b</p></article>", "T\nb"),
     ("<p title='a>b'>x</p>", "x"), ("<p>broken <b", "broken"), ("<div hidden>h</div><p>v</p>", "v"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<p>a&nbsp; b\n\tc</p>", "a b c"), ("<i>in</i><b>line</b>", "inline"),
     ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"), ("<p>x" * 2000, "\n".join(["x"] * 2000)),
+    ('<div style="overflow:hidden">a</div><p title="The hidden truth">b</p><a href="/hidden/valley">c</a>', "a\nb\nc"), ("<p title='class=ad id=menu'>a</p><a href=/x/hidden>b</a><p data-hidden=1>c</p>", "a\nb\nc"),
+    ("<div HIDDEN=''>a</div><div data-x=1 class = 'ad'>b</div><div aria-hidden=true>c</div><p>d</p>", "d"), ("<p>a<svg/>b<math />c<svg width=\"1\"/>d<svg focusable/>e", "abcde"), ("a<svg href=/x/>no</svg>b<svg><path/></svg>c", "abc"),
 ]
 
 

@@ -47,7 +47,10 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 FENCE = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"(?<![\w-])(id|class|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+#: The end of a self-closed tag; a slash that ends a value without quotes is part of the value.
+_CLOSED = re.compile(r"(?<!\S)/\s*\Z|[\"']/\s*\Z|(?:^|[\s\"'])[^\s\"'=/]+/\s*\Z")
+_OPEN_VALUE = re.compile(r"=\s+[^\s\"']+\Z")
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
@@ -82,6 +85,10 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
+def _self_closed(attributes: str) -> bool:
+    return bool(_CLOSED.search(attributes)) and not _OPEN_VALUE.search(attributes)
+
+
 def parse(html: str) -> Node:
     """The tree of a page; broken markup closes where HTML would close it."""
     root = Node("")
@@ -126,6 +133,8 @@ def parse(html: str) -> Node:
         stack[-1].parts.append(node)
         if tag in VOID:
             continue
+        if tag in ("svg", "math") and _self_closed(m.group(3)):
+            continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = close.end() if close else end
