@@ -306,6 +306,38 @@ def test_edit_distance():
             assert edit_within(a, b[start:end]) == d
 
 
+def test_decontamination_up_to_the_limit(spark):
+    """Passages at 20 % edits, and short items: exact copies always, edited ones mostly."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    free = lambda n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    def edited(text):
+        c = list(text)
+        for _ in range(len(text) // 5):
+            k = rng.randrange(len(c))
+            c[k : k + 1] = rng.choice(("", rng.choice(letters), c[k] + rng.choice(letters)))
+        return "".join(c)
+
+    long = [(k, free(rng.randrange(14, 60))[: rng.randrange(81, 300)]) for k in range(100)]
+    short = [(200 + k, free(12)[: 5 + k % 60].strip()) for k in range(100)]
+    rows = [(k, free(20) + " " + edited(t) + " " + free(20), None, None, 0) for k, t in long]
+    rows += [(k, free(20) + "\n" + t.upper() + ". " + free(20), None, None, 0) for k, t in short] + [(400 + k, free(9) + " " + edited(t) + " " + free(9), None, None, 0) for k, t in short]
+    rows += [(900, "É. Köln, 7!", None, None, 0)]
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(long + short + [(900, "é köln"), (901, "?!"), (902, "")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert sum((k, k) in got for k, _ in long) >= 95
+    assert {(k, k) for k, _ in short} | {(900, 900)} <= got and not {i for _, i in got} & {901, 902}
+    assert sum((400 + k, k) in got for k, t in short if len(t) >= 30) >= 0.9 * sum(len(t) >= 30 for _, t in short)
+
+
+def test_q_gram_bound():
+    rng = random.Random(6)
+    for _ in range(2000):
+        a, b = ("".join(rng.choice("abc ") for _ in range(rng.randrange(1, 40))) for _ in range(2))
+        assert not decontaminate.out_of_reach(a, b, decontaminate.distance_within(a, b)[0])
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     items = [(k, "Item É%d: " % k + prose(rng, 30)) for k in range(20)] + [(90, None), (91, "short"), (5, "Item É5 again " + prose(rng, 30))]
