@@ -112,6 +112,13 @@ def test_words_and_shingles():
     assert [len(s) for s in sets] == [1, 0, 1, 1, 4] and sets[0][0] in sets[4]
 
 
+@pytest.mark.parametrize("size", [4, 5])
+def test_shingles_of_few_words_alone(size):
+    for n in range(size + 1):
+        raw = np.frombuffer(" ".join("abcdefg"[:n]).encode(), np.uint8)
+        assert [len(s) for s in textblocks.shingle_sets(raw, np.array([0, len(raw)]), size)] == [min(n, 1)]
+
+
 def test_exact_dedup(docs, rows):
     groups = defaultdict(list)
     for i, t, *_ in rows:

@@ -96,9 +96,10 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np
     A text with fewer words has its whole sequence as one; without words, none.
     """
     hashed, at = words(raw, offsets)
-    run = np.zeros(max(0, len(hashed) - size + 1), np.uint64)
+    n = max(0, len(hashed) - size + 1)
+    run = np.zeros(n, np.uint64)
     for k in range(size):
-        run = run * np.uint64(_BASE) + hashed[k : len(hashed) - size + 1 + k]
+        run = run * np.uint64(_BASE) + hashed[k : k + n]
     run = mix(run)
     for a, b in zip(at[:-1], at[1:]):
         if b - a >= size:
