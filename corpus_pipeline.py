@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import settle, without_ids
+from tidemark.llm.common import keep, settle, without_ids, without_space
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language import UNDETERMINED, fit, identify
@@ -33,30 +33,46 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter(F.col("_tidemark_lang") != UNDETERMINED).select(*docs.columns)
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """Documents with ``_row``, a hash of id and text: null and repeated ids tell rows apart by it."""
+    return docs.withColumn("_row", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that stay in their group of equal texts; a row that repeats the staying id and text stays once."""
+    """Rows that stay in their group of equal texts, one for each group."""
     judged = exact_dedup(docs)
-    gone = judged.filter("NOT kept").select("doc_id")
-    kept = without_ids(docs, gone)
-    # rows of one id: only where ids repeat is there anything to do, and only those rows move
-    twice = judged.filter("kept AND group_size > 1").groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    name = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text_sha256")
+    sha = F.sha2(without_space(F.col("text")).cast("binary"), 256)
+    named = docs.withColumn("_row", F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), sha))
+    kept = without_ids(named, judged.filter("NOT kept").select(name.alias("_row")), "_row")
+    # rows of one id and text: only where they repeat is there anything to do, and only those rows move
+    twice = judged.filter("kept AND group_size > 1").groupBy(name.alias("_row")).count().filter("count > 1").select("_row")
+    twice = keep(twice)
     if twice.isEmpty():
-        return kept
-    once = without_ids(kept, twice)
-    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again.select(*docs.columns))
+        return kept.select(*docs.columns)
+    once = without_ids(kept, twice, "_row")
+    longest = F.max_by(F.struct(*docs.columns), F.length(F.coalesce("text", F.lit(""))))
+    again = kept.join(twice, "_row", "left_semi").groupBy("_row").agg(longest.alias("_best")).select("_best.*")
+    return once.select(*docs.columns).unionByName(again)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that name their component, and rows without an id."""
-    linked = link_components(docs, size=5, percent=80)
-    return without_ids(docs, linked.filter("doc_id <> component_id").select("doc_id"))
+    """The row with the least id of each component; a row without an id stays only where none has one."""
+    named = _named(docs)
+    linked = link_components(named.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80)
+    members = keep(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias("_row"), "component_id"))
+    members = members.unionByName(members.select(F.col("component_id").alias("_row"), "component_id")).distinct()
+    members = keep(named.select("_row", "doc_id").join(members, "_row"))
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_first"))
+    return without_ids(named, members.join(first, "component_id").filter("_row <> _first").select("_row"), "_row").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without_ids(docs, contaminated(docs, benchmark).select("doc_id"))
+    named = _named(docs)
+    found = contaminated(named.select(F.col("_row").alias("doc_id"), "text"), benchmark)
+    return without_ids(named, found.select(F.col("doc_id").alias("_row")), "_row").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

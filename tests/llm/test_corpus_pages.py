@@ -169,3 +169,15 @@ def test_pipeline_drops_what_it_should(spark):
     assert sorted(str(r.doc_id) for r in corpus_pipeline.dedup(spark, left, "").collect()) == ["2", "None"]
     again = spark.createDataFrame(rows[:2], docs.schema)
     assert corpus_pipeline.dedup(spark, again, "").count() == 1
+
+
+def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
+    """Null and repeated ids with exact copies, near copies and benchmark items."""
+    w = [f"{a}{b}" for a in ("stone", "river", "light", "house", "garden", "night") for b in ("er", "ing", "ed", "ly", "ness", "ful", "some")]
+    a, b, c = " ".join(w), " ".join(reversed(w)), " ".join(w[::2] + w[1::2])
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = lambda df: sorted((str(r.doc_id), r.text) for r in df.collect())
+    assert left(corpus_pipeline.dedup(spark, make([(3, b), (5, a), (5, b), (None, b), (None, c), (None, c), (7, "x")]), "")) == sorted([("3", b), ("5", a), ("None", c), ("7", "x")])
+    assert left(corpus_pipeline.near_dedup(spark, make([(3, b), (5, a), (5, b + " end"), (None, b + " last"), (None, c), (8, ""), (None, "")]), "")) == sorted([("3", b), ("5", a), ("None", c), ("8", ""), ("None", "")])
+    spark.createDataFrame([(1, b)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert left(corpus_pipeline.decontaminate(spark, make([(5, a), (5, "see " + b), (None, b), (None, c)]), str(tmp_path))) == sorted([("5", a), ("None", c)])
