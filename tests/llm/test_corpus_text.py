@@ -338,6 +338,44 @@ def test_decontamination_up_to_the_limit(spark):
     assert sum((400 + k, k) in got for k, t in short if len(t) >= 30) >= 0.9 * sum(len(t) >= 30 for _, t in short)
 
 
+def test_decontamination_against_all_pairs(spark):
+    """Every document against every item by the plain distance: nothing found beyond it, nine in ten found in each class of lengths."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    free = lambda n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    def edited(text, rate):
+        c = list(text)
+        for _ in range(int(len(text) * rate)):
+            k = rng.randrange(len(c))
+            c[k : k + 1] = rng.choice(("", rng.choice(letters), c[k] + rng.choice(letters)))
+        return "".join(c)
+
+    items = [(200 * c + k, free(hi)[: rng.randrange(lo, hi)].strip()) for c, (lo, hi) in enumerate(((20, 40), (40, 96), (96, 200), (200, 400))) for k in range(20)]
+    items.append((1000, free(400)[:2000].strip()))
+    rows = [(i, f"{free(6)} {edited(t, (0.05, 0.1, 0.15, 0.2)[i % 4])} {free(6)}", None, None, 0) for i, t in items]
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {}
+    for d, text, *_ in rows:
+        for i, t in items:
+            least = decontaminate.distance_within(t, text, len(t) // 5)[0]
+            if least <= 0.2 * len(t):
+                want[d, i] = least
+    assert set(got) <= set(want) and all(want[k] <= got[k] for k in got)
+    for c in range(6):
+        own = [k for k in want if k[1] // 200 == c]
+        assert sum(k in got for k in own) >= 0.9 * len(own)
+
+
+@pytest.mark.parametrize("alphabet", ["abc ", "abcé ж漢"])
+def test_bound_never_exceeds_the_distance(alphabet):
+    rng = random.Random(16)
+    pairs = [tuple("".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 200))) for _ in range(2)) for _ in range(400)]
+    for (a, b), least in zip(pairs, decontaminate.edits_at_least([a for a, _ in pairs], [b for _, b in pairs]).tolist()):
+        real = decontaminate.distance_within(a, b)[0]
+        assert least <= real and (len(a) > decontaminate.PIECE or least == real)
+
+
 def test_q_gram_bound():
     rng = random.Random(6)
     for _ in range(2000):

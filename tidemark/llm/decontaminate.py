@@ -2,21 +2,21 @@
 
 Texts are normalised: A-Z and Latin-1 capitals lower-cased, every run of bytes
 other than letters and digits one blank. Every word of a document and of an item
-begins a window. Windows come in two lengths: items of fewer than SHORT_CHARS
-characters have short walks, all others long ones. A long window is no longer
-than the shortest long item: over a whole item 20 % edits would leave no table
-a chance, while of an item's many windows some have few edits.
+begins a window. The length of a window's walk goes by the item's length, in
+CLASSES, and is never longer than the item: over a whole long item 20 % edits
+would leave no table a chance, while of its many windows some have few edits.
 
 A window is embedded by the random walk of Chakraborty, Goldenberg and Koucky:
 at step t the current character is written out, and a random bit that depends on
 t and the character says whether to move on. Few edits then become few unequal
 places, and walks fall into step again after an edit. Tables sample some places
-each; windows that agree with an item's window on all places of a table are
-candidates. The number of tables follows from the recall wanted at ``unequal``
-unequal places (``tables_for``), which is measured at 20 % edits. Short items are
+each; windows that agree with an item's window on all places of a table, and on
+most of all places, are candidates. The number of tables follows from the recall
+wanted at ``unequal`` unequal places (``tables_for``). The shortest items are
 looked up besides by the hashes of all runs of their number of words, so that
-exact copies of them are always found. Candidates are verified by Myers'
-bit-vector edit distance of the whole item against the text around the window.
+exact copies of them are always found. Candidates that a lower bound of the edit
+distance leaves are verified by Myers' bit-vector edit distance of the whole item
+against the text around the window.
 
 Items are read in blocks of bounded size and each block's index is broadcast;
 documents are scanned once per block and nothing is shuffled.
@@ -27,7 +27,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +35,18 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.textblocks import mix, slices, words
 from tidemark.shipping import ship
 
-STEPS = 64
-SAMPLED = 12
+#: Items of fewer characters than the first number have walks of so many steps, of which a table samples so many places.
+CLASSES = ((40, 16, 5), (96, 32, 8), (1 << 62, 48, 10))
+PAD = max(steps for _, steps, _ in CLASSES)
 WALKS = 2
-#: Shorter items have walks of their own and are looked up exactly besides.
-SHORT_CHARS = 64
-SHORT_STEPS = 24
-SHORT_SAMPLED = 8
-#: Share of unequal places in the best of a passage's windows at 20 % edits; measured, nine passages in ten have less.
-UNEQUAL = 0.172
+#: Share of unequal places in the best of a passage's windows that tables are made for; at 20 % edits nine passages in ten have less.
+UNEQUAL = 0.2
 CHUNK = 1 << 14
+#: Windows that agree in a table are no candidates if a larger share of all places is unequal.
+FAR = 0.4
+#: Characters of an item in one bit vector, and characters that the lower bound scans at once, over all vectors.
+PIECE = 64
+SCANNED = 1 << 21
 BLOCK_ITEMS = 10_000
 BLOCK_CHARS = 8 << 20
 
@@ -55,13 +56,13 @@ for _a, _b in ((ord("0"), ord("9")), (ord("a"), ord("z")), (0x80, 0xFF)):
 _FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
-def tables_for(recall: float, unequal: float, sampled: int = SAMPLED) -> int:
+def tables_for(recall: float, unequal: float, sampled: int) -> int:
     """Tables so that one window pair with that share of unequal places is met with that probability."""
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - (1 - unequal) ** sampled)))
 
 
 def normalise(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Normalised bytes (zero-padded by STEPS), the raw index of each, and each text's end among them."""
+    """Normalised bytes (zero-padded by PAD), the raw index of each, and each text's end among them."""
     folded = _FOLD[raw]
     capital = np.zeros(len(raw), bool)
     capital[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)
@@ -74,11 +75,11 @@ def normalise(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     folded[starts[blank[starts]]] = 0x20
     index = np.flatnonzero(kept)
     ends = np.searchsorted(index, offsets)
-    return np.concatenate([folded[index], np.zeros(STEPS, np.uint8)]), index, ends
+    return np.concatenate([folded[index], np.zeros(PAD, np.uint8)]), index, ends
 
 
 def word_starts(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    body = text[: len(text) - STEPS]
+    body = text[: len(text) - PAD]
     inside = body != 0x20
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -89,7 +90,7 @@ def word_starts(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def word_runs(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``length`` words within one text, and where they start."""
-    hashed, first = words(text[: len(text) - STEPS], ends)
+    hashed, first = words(text[: len(text) - PAD], ends)
     n = max(0, len(hashed) - length + 1)
     run = np.zeros(n, np.uint64)
     for k in range(length):
@@ -104,29 +105,43 @@ class Walks:
     """Random bits of the walks, and the places that each table samples."""
 
     tables: int
-    steps: int = STEPS
-    sampled: int = SAMPLED
+    steps: int
+    sampled: int
     seed: int = 7
 
-    def keys(self, text: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-        """For each table, a hash of the sampled places of every window."""
+    def keys(self, text: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each table, a 32-bit hash of the sampled places of every window, and what the walk wrote (a row per step).
+
+        Whether a step moves on is the top bit of a random function of the character, in eight-bit arithmetic.
+        """
         rng = np.random.default_rng(self.seed)
         for walk in range(WALKS):
-            move = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
+            first, second = 2 * rng.integers(0, 128, (2, self.steps), dtype=np.uint8) + 1
+            term = rng.integers(0, 256, self.steps, dtype=np.uint8)
             own = range(walk, self.tables, WALKS)
-            at = [set(rng.choice(self.steps, self.sampled, replace=False).tolist()) for _ in own]
-            hashed = [np.full(len(starts), k + 1, np.uint64) for k in own]
+            # a place from each of as many equal stretches: places that cluster would meet any text
+            at = [((rng.random(self.sampled) + np.arange(self.sampled)) * self.steps / self.sampled).astype(int).tolist() for _ in own]
+            spread = [2 * rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32) + 1 for _ in own]
+            written = np.empty((self.steps, len(starts)), np.uint32)
             place = starts.copy()
             for t in range(self.steps):
                 char = text.take(place, mode="clip")
-                wanted = [h for h, s in zip(hashed, at) if t in s]
-                if wanted:
-                    wide = char.astype(np.uint64)
-                    for h in wanted:
-                        h *= np.uint64(0x9E3779B97F4A7C15)
-                        h += wide
-                place += move[t].take(char)
-            yield from map(mix, hashed)
+                written[t] = char
+                char += term[t]
+                char *= first[t]
+                char ^= char >> 4
+                char *= second[t]
+                char >>= 7
+                place += char
+            part = np.empty(len(starts), np.uint32)
+            for where, factors in zip(at, spread):
+                key = np.zeros(len(starts), np.uint32)
+                for t, f in zip(where, factors):
+                    np.multiply(written[t], f, out=part)
+                    key += part
+                # the low bits of the sum see only the low bits of the characters
+                key ^= key >> np.uint32(15)
+                yield key, written
 
 
 def distance_within(item: str, text: str, most: int | None = None) -> tuple[int, int, int]:
@@ -161,18 +176,77 @@ def distance_within(item: str, text: str, most: int | None = None) -> tuple[int,
     return best, end - back, end
 
 
-@lru_cache(1 << 14)
-def _grams(item: str, q: int) -> tuple[str, ...]:
-    return tuple(item[k : k + q] for k in range(len(item) - q + 1))
+def edits_at_least(items: list[str], texts: list[str]) -> np.ndarray:
+    """For each item a lower bound of its edit distance to any stretch of its text.
+
+    An item is cut into pieces of PIECE characters at most; the least distances of
+    its pieces to stretches of the text, wherever those are, sum to no more than
+    its own. All pieces are scanned in step, a bit vector each. Characters count
+    by their last eight bits, which can only bring texts nearer.
+    """
+    out = np.zeros(len(items), np.int64)
+    order = sorted(range(len(items)), key=lambda k: len(texts[k]))
+    start = 0
+    while start < len(order):
+        stop, lanes = start, 0
+        while stop < len(order) and (stop == start or (lanes + -(-len(items[order[stop]]) // PIECE)) * max(1, len(texts[order[stop]])) <= SCANNED):
+            lanes += -(-len(items[order[stop]]) // PIECE)
+            stop += 1
+        some = order[start:stop]
+        out[some] = _bounds([items[k] for k in some], [texts[k] for k in some])
+        start = stop
+    return out
+
+
+def _codes(text: str) -> np.ndarray:
+    return (np.frombuffer(text.encode("utf-32-le", errors="replace"), np.uint32) & 0xFF).astype(np.uint8)
+
+
+def _bounds(items: list[str], texts: list[str]) -> np.ndarray:
+    pieces: dict[bytes, int] = {}
+    number, owner, length = [], [], []
+    for k, item in enumerate(items):
+        codes = _codes(item)
+        for piece in np.array_split(codes, -(-len(codes) // PIECE)) if len(codes) else ():
+            number.append(pieces.setdefault(piece.tobytes(), len(pieces)))
+            owner.append(k)
+            length.append(len(piece))
+    number, owner, length = np.array(number, np.int64), np.array(owner, np.int64), np.array(length, np.int64)
+    # a piece has the high bits of its vector; the bits below match anything and cost nothing
+    where = np.zeros((len(pieces), 256), np.uint64)
+    for p, piece in enumerate(pieces):
+        free = 64 - len(piece)
+        where[p] = (1 << free) - 1
+        for k, c in enumerate(piece):
+            where[p, c] |= np.uint64(1 << (free + k))
+    width = max(map(len, texts))
+    grid = np.zeros((len(texts), width), np.uint8)
+    for k, text in enumerate(texts):
+        grid[k, : len(text)] = _codes(text)
+    columns = np.ascontiguousarray(grid.T)
+    one, where = np.uint64(1), where.reshape(-1)
+    up = ~np.uint64(0) << (64 - length).astype(np.uint64)
+    down = np.zeros(len(number), np.uint64)
+    score = length.astype(np.int32)
+    best, base = score.copy(), number * 256
+    for column in columns:
+        eq = where.take(base + column.take(owner))
+        across = (((eq & up) + up) ^ up) | eq | down
+        plus = down | ~(across | up)
+        minus = up & across
+        score += plus.view(np.int64) < 0
+        score -= minus.view(np.int64) < 0
+        np.minimum(best, score, out=best)
+        plus <<= one
+        minus <<= one
+        up = minus | ~(across | plus)
+        down = plus & across
+    return np.bincount(owner, best, len(items)).astype(np.int64)
 
 
 def out_of_reach(item: str, text: str, edits: int) -> bool:
-    """Whether so many of the item's q-grams are missing that no stretch of the text is within the edits: one edit takes q at most."""
-    for q in (4, 3):
-        here = {text[k : k + q] for k in range(len(text) - q + 1)}
-        if sum(g not in here for g in _grams(item, q)) > q * edits:
-            return True
-    return False
+    """Whether the lower bound already shows that no stretch of the text is within the edits."""
+    return bool(edits_at_least([item], [text])[0] > edits)
 
 
 @dataclass(frozen=True)
@@ -189,63 +263,75 @@ class Index:
     keys: tuple[np.ndarray, ...]
     order: tuple[np.ndarray, ...]
     may: tuple[np.ndarray, ...]
+    walked: tuple[np.ndarray, ...]
     sizes: tuple[int, ...]
     whole: tuple[tuple[int, np.ndarray, np.ndarray], ...]
 
     @staticmethod
-    def build(items: list[tuple[int, str]], walks: Walks, short: bool) -> Index:
-        """Of the short items or of all others; the walks are those of the kind."""
+    def build(items: list[tuple[int, str]], walks: Walks, least: int, below: int, whole_runs: bool) -> Index:
+        """Of the items of so many characters; with the hashes of their whole word runs if asked for."""
         kept, texts, starts, owner = [], [], [], []
         whole: dict[int, list[tuple[int, int]]] = {}
         base = 0
         for item_id, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
             norm, _, ends = normalise(raw, np.array([0, len(raw)]))
-            plain = norm[: len(norm) - STEPS].tobytes().decode(errors="replace").strip()
-            if not plain or (len(plain) < SHORT_CHARS) != short:
+            plain = norm[: len(norm) - PAD].tobytes().decode(errors="replace").strip()
+            if not plain or not least <= len(plain) < below:
                 continue
             own = word_starts(norm, ends)
-            if short:
+            if whole_runs:
                 run, _ = word_runs(norm, own, ends, len(own))
                 whole.setdefault(len(own), []).append((int(run[0]), len(kept)))
-            own = own[(own <= len(norm) - STEPS - walks.steps // 4)]
+            own = own[(own <= len(norm) - PAD - walks.steps // 4)]
             texts.append(norm)
             starts.append(own)
             owner.append(np.full(len(own), len(kept)))
             kept.append((item_id, plain, base, norm))
             base += len(norm)
         if not kept:
-            return Index((), walks, *(np.zeros(0, np.int64),) * 2, (), (), (), (), ())
+            return Index((), walks, *(np.zeros(0, np.int64),) * 2, (), (), (), (), (), ())
         text = np.concatenate(texts)
         at = np.concatenate([s + k[2] for s, k in zip(starts, kept)])
         begin = np.concatenate([s - int(k[3][0] == 0x20) for s, k in zip(starts, kept)])
-        places = 1 << max(16, (32 * len(at)).bit_length())
-        keys, order, may = [], [], []
-        for key in walks.keys(text, at):
+        places = 1 << max(16, (32 * len(at) - 1).bit_length())
+        keys, order, may, walked = [], [], [], []
+        last = None
+        for key, written in walks.keys(text, at):
+            # the tables of a walk share what it wrote
+            walked.append(walked[-1] if written is last else written.T.astype(np.uint8))
+            last = written
             o = np.argsort(key, kind="stable")
             yes = np.zeros(places, bool)
-            yes[(key & np.uint64(places - 1)).astype(np.int64)] = True
+            yes[key & np.uint32(places - 1)] = True
             keys.append(key[o])
-            order.append(o)
+            order.append(o.astype(np.int32))
             may.append(yes)
         runs = []
         for length, pairs in sorted(whole.items()):
             pairs.sort()
             runs.append((length, np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs])))
-        return Index(tuple((k[0], k[1]) for k in kept), walks, np.concatenate(owner), begin, tuple(keys), tuple(order), tuple(may), tuple(len(k[1].encode()) for k in kept), tuple(runs))
+        return Index(tuple((k[0], k[1]) for k in kept), walks, np.concatenate(owner), begin, tuple(keys), tuple(order), tuple(may), tuple(walked), tuple(len(k[1].encode()) for k in kept), tuple(runs))
 
     def candidates(self, text: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
         """(number of a start, number of an item's window) that agree in some table."""
         found: set[tuple[int, int]] = set()
         # so many windows at a time stay in the processor's cache
         for first in range(0, len(starts), CHUNK):
-            for key, keys, order, may in zip(self.walks.keys(text, starts[first : first + CHUNK]), self.keys, self.order, self.may):
-                who = np.flatnonzero(may[(key & np.uint64(len(may) - 1)).astype(np.int64)])
-                if not len(who):
-                    continue
-                a, b = np.searchsorted(keys, key[who]), np.searchsorted(keys, key[who], "right")
-                for w, x, y in zip(who[b > a].tolist(), a[b > a].tolist(), b[b > a].tolist()):
-                    found.update((first + w, int(o)) for o in order[x:y])
+            for (key, written), keys, order, may, walked in zip(self.walks.keys(text, starts[first : first + CHUNK]), self.keys, self.order, self.may, self.walked):
+                who = np.flatnonzero(may.take(key & np.uint32(len(may) - 1)))
+                asked = key[who]
+                a = np.searchsorted(keys, asked)
+                hit = keys.take(a, mode="clip") == asked
+                who, a, asked = who[hit], a[hit], asked[hit]
+                many = np.searchsorted(keys, asked, "right") - a
+                # every window with each of the item windows of its key
+                who = np.repeat(who, many)
+                other = order[np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(a, many)]
+                for part in range(0, len(who), CHUNK):
+                    w, o = who[part : part + CHUNK], other[part : part + CHUNK]
+                    near = np.count_nonzero(written[:, w].T != walked[o], axis=1) <= FAR * self.walks.steps
+                    found.update(zip((first + w[near]).tolist(), o[near].tolist()))
         return found
 
     def copies(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -257,10 +343,15 @@ class Index:
                 yield from ((int(at[k]), int(o)) for o in owner[a[k] : b[k]])
 
 
-def find_in(index: Index, raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text number, item number, distance, start, end) of the best occurrence of each item in each text."""
+def find_in(indexes: list[Index], raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
+    """(text number, item, distance, start, end) of the best occurrence of each item in each text."""
     text, back, ends = normalise(raw, offsets)
     starts = word_starts(text, ends)
+    for index in indexes:
+        yield from _find(index, text, back, ends, starts, raw, offsets, similarity)
+
+
+def _find(index: Index, text: np.ndarray, back: np.ndarray, ends: np.ndarray, starts: np.ndarray, raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
     # places to look at: a text, an item, and where the item would begin
     looks: dict[tuple[int, int], set[int]] = {}
     owners = np.searchsorted(ends, starts, "right") - 1
@@ -269,11 +360,10 @@ def find_in(index: Index, raw: np.ndarray, offsets: np.ndarray, similarity: floa
         looks.setdefault((int(owners[w]), item), set()).add(int(starts[w]) - int(index.begin[window]))
     for at, item in index.copies(text, starts, ends):
         looks.setdefault((int(np.searchsorted(ends, at, "right")) - 1, item), set()).add(at)
+    asked: list[tuple[int, int, int, str, int]] = []
     for (doc, item), begins in sorted(looks.items()):
-        plain = index.items[item][1]
-        most = int((1 - similarity) * len(plain) + 1e-6)
-        slack = most + 2
-        best, done = None, None
+        most = int((1 - similarity) * len(index.items[item][1]) + 1e-6)
+        slack, done = most + 2, None
         for begin in sorted(begins):
             if done is not None and begin <= done + slack // 2:
                 continue
@@ -284,16 +374,20 @@ def find_in(index: Index, raw: np.ndarray, offsets: np.ndarray, similarity: floa
             skip = 0
             while skip < len(part) and part[skip] & 0xC0 == 0x80:
                 skip += 1
-            near = part[skip:].decode(errors="replace")
-            if out_of_reach(plain, near, most):
-                continue
-            distance, start, end = distance_within(plain, near, most)
-            if best is None or distance < best[0]:
-                best = distance, lo + skip + len(near[:start].encode()), lo + skip + len(near[:end].encode())
-        if best and len(plain) - best[0] >= similarity * len(plain):
+            asked.append((doc, item, most, part[skip:].decode(errors="replace"), lo + skip))
+    least = edits_at_least([index.items[a[1]][1] for a in asked], [a[3] for a in asked])
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for (doc, item, most, near, at), bound in zip(asked, least.tolist()):
+        if bound > most:
+            continue
+        distance, start, end = distance_within(index.items[item][1], near, most)
+        if distance <= most and ((doc, item) not in best or distance < best[doc, item][0]):
+            best[doc, item] = distance, at + len(near[:start].encode()), at + len(near[:end].encode())
+    for (doc, item), (distance, start, end) in best.items():
+        if len(index.items[item][1]) - distance >= similarity * len(index.items[item][1]):
             source = raw[offsets[doc] : offsets[doc + 1]]
-            points = [int(np.count_nonzero((source[: int(b)] & 0xC0) != 0x80)) for b in (back[best[1]] - offsets[doc], back[best[2] - 1] + 1 - offsets[doc])]
-            yield doc, item, best[0], *points
+            points = [int(np.count_nonzero((source[: int(b)] & 0xC0) != 0x80)) for b in (back[start] - offsets[doc], back[end - 1] + 1 - offsets[doc])]
+            yield doc, index.items[item], distance, *points
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.95, unequal: float = UNEQUAL) -> DataFrame:
@@ -311,11 +405,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     schema = "doc_id long, item_id long, distance long, similarity double, start long, stop long"
     parts: list[DataFrame] = []
-    long = Walks(tables_for(recall, unequal), STEPS, SAMPLED)
-    short = Walks(tables_for(recall, unequal, SHORT_SAMPLED), SHORT_STEPS, SHORT_SAMPLED)
+    kinds, least = [], 0
+    for below, steps, sampled in CLASSES:
+        kinds.append((Walks(tables_for(recall, unequal, sampled), steps, sampled), least, below, least == 0))
+        least = below
 
     def scan(items: list[tuple[int, str]]) -> None:
-        indexes = [x for x in (Index.build(items, long, False), Index.build(items, short, True)) if x.items]
+        indexes = [x for x in (Index.build(items, *kind) for kind in kinds) if x.items]
         if not indexes:
             return
         shared = docs.sparkSession.sparkContext.broadcast(indexes)
@@ -323,16 +419,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part, raw, offsets in slices(batch, "text"):
-                    for index in shared.value if len(raw) else ():
-                        rows = list(find_in(index, raw, offsets, similarity))
-                        if not rows:
-                            continue
-                        doc, item, distance, start, stop = zip(*rows)
-                        lengths = [len(index.items[i][1]) for i in item]
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column("doc_id").take(pa.array(doc)), pa.array([index.items[i][0] for i in item], pa.int64()), pa.array(distance, pa.int64()), pa.array([1 - d / n for d, n in zip(distance, lengths)]), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
-                            names=["doc_id", "item_id", "distance", "similarity", "start", "stop"],
-                        )
+                    rows = list(find_in(shared.value, raw, offsets, similarity)) if len(raw) else []
+                    if not rows:
+                        continue
+                    doc, item, distance, start, stop = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").take(pa.array(doc)), pa.array([i for i, _ in item], pa.int64()), pa.array(distance, pa.int64()), pa.array([1 - d / len(t) for d, (_, t) in zip(distance, item)]), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
+                        names=["doc_id", "item_id", "distance", "similarity", "start", "stop"],
+                    )
 
         parts.append(texts.mapInArrow(search, schema))
 
