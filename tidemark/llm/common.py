@@ -5,12 +5,16 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tidemark.shipping import ship
 
 #: The white space of every contract here: space, tab, line feed, vertical tab,
 #: form feed, carriage return.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Bytes of one Arrow batch to or from a Python worker, unless one row is longer.
+ARROW_BYTES = 4 << 20
 
 
 def words_in(text: Column) -> Column:
@@ -37,6 +41,19 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def ready(spark: SparkSession) -> None:
+    """Give Python workers the package, and Arrow batches a size that does not follow the rows'.
+
+    A batch of 10,000 long texts would take hundreds of megabytes in the executor and again in its
+    worker; a session that already asks for less than ARROW_BYTES keeps its setting.
+    """
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def ensure_checkpoint_dir(df: DataFrame) -> None:
     """Leave the cluster's spark.checkpoint.dir alone; set one only where none is named."""
     spark = df.sparkSession

@@ -32,8 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import ready
 from tidemark.llm.textblocks import mix, slices, words
-from tidemark.shipping import ship
 
 #: Items of fewer characters than the first number have walks of so many steps, of which a table samples so many places.
 CLASSES = ((40, 16, 5), (96, 32, 8), (1 << 62, 48, 10))
@@ -401,7 +401,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     or digit are never found; an empty table on either side gives no rows; other
     columns are ignored.
     """
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     schema = "doc_id long, item_id long, distance long, similarity double, start long, stop long"
     parts: list[DataFrame] = []

@@ -26,9 +26,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import keep
+from tidemark.llm.common import keep, ready
 from tidemark.llm.urlrules import host_of
-from tidemark.shipping import ship
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe textarea title svg math object canvas".split())
@@ -293,7 +292,7 @@ def extract_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.
     rows are pages of their own; an empty table gives no rows; other columns are
     ignored.
     """
-    ship(pages.sparkSession)
+    ready(pages.sparkSession)
     host = F.coalesce(host_of(F.col("url").cast("string")), F.lit(""))
     work = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
 

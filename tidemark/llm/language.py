@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidemark.llm.common import ready
 from tidemark.llm.textblocks import slices
-from tidemark.shipping import ship
 
 UNDETERMINED = "und"
 SEGMENT = 256
@@ -172,7 +172,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang_as:
     length are parsed whole; repeated rows get equal results; an empty table
     stays empty.
     """
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))

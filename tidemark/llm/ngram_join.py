@@ -29,10 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import cut, join_groups, keep
+from tidemark.llm.common import cut, join_groups, keep, ready
 from tidemark.llm.components import components
 from tidemark.llm.textblocks import mix, shingle_sets, slices
-from tidemark.shipping import ship
 
 #: Classes on a side of one block of a cluster.
 CLUSTER_BLOCK = 512
@@ -108,7 +107,7 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
     ``seen_bits`` the broadcast bit table; both only steer the work.
     """
     spark = docs.sparkSession
-    ship(spark)
+    ready(spark)
     edge = np.uint64(int(counted * (1 << 64)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 

@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import keep
+from tidemark.llm.common import keep, ready
 from tidemark.llm.textblocks import slices
-from tidemark.shipping import ship
 
 #: Fixed by the contract of the base scan.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -187,7 +186,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     read whole; repeated rows are judged alike, each counting as a test; null ids
     are carried; an empty table gives no rows; other columns are ignored.
     """
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,9 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import ready
 from tidemark.llm.language import fold_of
 from tidemark.llm.textblocks import slices, words
-from tidemark.shipping import ship
 
 _WORD = np.full(256, 0x20, np.uint8)
 for _a, _b in ((ord("0"), ord("9")), (ord("A"), ord("Z")), (ord("a"), ord("z")), (0x80, 0xFF)):
@@ -150,7 +150,7 @@ def score_documents(docs: DataFrame, model: ToxicModel) -> DataFrame:
     no rows; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id")) == 0).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,8 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import keep
-from tidemark.shipping import ship
+from tidemark.llm.common import keep, ready
 
 #: Fixed by the contract: host, path, verdict.
 RULES = (
@@ -114,7 +113,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE, r
     columns are ignored.
     """
     spark = pages.sparkSession
-    ship(spark)
+    ready(spark)
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     url = F.col("url").cast("string")
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
