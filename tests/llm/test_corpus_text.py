@@ -102,6 +102,26 @@ def test_components(spark):
     assert dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()) == want
 
 
+@pytest.mark.parametrize("per_task", [7, 40])
+def test_components_in_rounds(spark, monkeypatch, per_task):
+    """Too many edges for one task: a path, a hub, a clique and loops, in either type."""
+    from tidemark.llm import components as module
+
+    monkeypatch.setattr(module, "EDGES_PER_TASK", per_task)
+    rng = random.Random(2)
+    edges = [(k + 1, k) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(a, b) for a in range(200, 208) for b in range(200, 208)] + [(rng.randrange(300, 330), rng.randrange(300, 330)) for _ in range(12)] + [(400, 400)]
+    label = {v: v for a, b in edges if a != b for v in (a, b)}
+    for _ in range(70):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    table = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    assert dict(tuple(r) for r in components(table).collect()) == label
+    named = components(table.selectExpr("unhex(lpad(hex(a), 4, '0')) AS a", "unhex(lpad(hex(b), 4, '0')) AS b")).collect()
+    assert {int(r.vertex.hex(), 16): int(r.root.hex(), 16) for r in named} == label
+    assert components(table.limit(0)).count() == 0
+
+
 def test_words_and_shingles():
     texts = ["A b\tc\x0bd", "", " é  ü\n", "x", "a b c d a b c d"]
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
