@@ -80,18 +80,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Inner join of rows with one row per group, safe for groups that hold much of the table.
+def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Inner join of rows with one row per group.
 
-    At most 1,000 groups can hold over a thousandth of ``total`` rows. Those are
-    broadcast (1,000 rows at most), so their rows stay where they are; every
-    other group is small and takes the shuffled join.
+    A group may hold much of the table: with the groups' side unique by key,
+    adaptive execution splits such a group's rows over many tasks and copies its
+    one row to them.
     """
-    bound = F.lit(max(1, total // 1000))
-    heavy, light = groups.filter(F.col(size) > bound), groups.filter(F.col(size) <= bound)
-    here = rows.join(F.broadcast(heavy), key)
-    there = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
-    return here.unionByName(there)
+    return rows.join(groups, key)
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:

@@ -2,12 +2,14 @@
 
 Pass 1 hashes each normalised text to a cell of a filter with at least 32 cells
 a row and finds the cells that were hit more than once; what moves is one long
-per row, combined before the shuffle. Those cells, folded into a second filter
-of at most ``filter_bits`` bits, are broadcast as 4 KB bitmaps. In pass 2 every
-row tests its bit: a row that misses is certainly the only one of its kind and
-goes straight to the result; only rows that hit are shuffled and grouped by the
-full SHA-256. The second filter has a fixed size, so on more data it passes more
-rows that turn out to be unique, never fewer that are not.
+per row, combined before the shuffle: a filter of a whole corpus would be larger than
+that, and one such filter per task larger still. The cells that were hit again are
+folded into a second filter, of 32 bits for each of them and at most
+``filter_bits``, and broadcast as 4 KB bitmaps. In pass 2 every row tests its bit:
+a row that misses is certainly the only one of its kind and goes straight to the
+result; only rows that hit are shuffled and grouped by the full SHA-256. Where the
+second filter meets its bound it passes more rows that turn out to be unique,
+never fewer that are not.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from tidemark.llm.common import join_groups, keep, without_space
 BITMAP_BITS = 32768
 
 
-def exact_dedup(docs: DataFrame, filter_bits: int = 1 << 26) -> DataFrame:
+def exact_dedup(docs: DataFrame, filter_bits: int = 1 << 28) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without their white space; of equal texts the
@@ -37,12 +39,12 @@ def exact_dedup(docs: DataFrame, filter_bits: int = 1 << 26) -> DataFrame:
             F.unhex(F.sha2(without_space(F.col("text")).cast("binary"), 256)).alias("_sha"),
         )
     )
-    total = rows.count()
-    cells = 1 << max(20, (32 * max(total, 1) - 1).bit_length())
-    bits = min(cells, filter_bits)
+    cells = 1 << max(20, (32 * max(rows.count(), 1) - 1).bit_length())
     cell = F.pmod(F.xxhash64("_sha"), F.lit(cells))
 
-    repeated = rows.groupBy(cell.alias("_cell")).agg(F.count("*").alias("_hits")).filter("_hits > 1")
+    repeated = keep(rows.groupBy(cell.alias("_cell")).agg(F.count("*").alias("_hits")).filter("_hits > 1").select("_cell"))
+    # a divisor of the number of cells, so that folding keeps a row's bit
+    bits = min(cells, filter_bits, max(BITMAP_BITS, 1 << (32 * max(repeated.count(), 1) - 1).bit_length()))
     folded = F.pmod(F.col("_cell"), F.lit(bits))
     bitmaps = repeated.groupBy(F.floor(folded / BITMAP_BITS).alias("_map")).agg(
         F.bitmap_construct_agg(F.pmod(folded, F.lit(BITMAP_BITS))).alias("_bits")
@@ -63,7 +65,7 @@ def exact_dedup(docs: DataFrame, filter_bits: int = 1 << 26) -> DataFrame:
     best = F.max(F.struct(F.col("_n"), F.bitwise_not(F.col("doc_id")).alias("_id")))
     groups = maybe.groupBy("_sha").agg(F.count("*").alias("group_size"), best.alias("_best"))
     groups = groups.select("_sha", "group_size", F.bitwise_not(F.col("_best._id")).alias("keep_id"))
-    shared = join_groups(maybe.select("doc_id", "_sha"), groups, "_sha", "group_size", total)
+    shared = join_groups(maybe.select("doc_id", "_sha"), groups, "_sha")
 
     return alone.unionByName(shared).select(
         "doc_id",

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import cut, join_groups, keep, ready
 from tidemark.llm.components import components
@@ -94,7 +94,7 @@ def _prefix(tokens: np.ndarray, common: np.ndarray, counted: np.uint64, percent:
     return tokens[chosen], hot[chosen], level
 
 
-def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted: float = 0.35, common_bound: int = 1 << 20, list_floor: int = 32, seen_bits: int = 1 << 27) -> DataFrame:
+def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted: float = 0.35, common_bound: int = 1 << 20, list_floor: int = 32, seen_bits: int = 1 << 27, id_type: str | None = "long") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Two documents link when 100 x intersection >= percent x union; a component's
@@ -104,12 +104,14 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
     n-gram; null ids take part, yet never name a component that has another id;
     repeated rows are copies; an empty table gives no rows; other columns are
     ignored. ``common_bound`` bounds the broadcast list of common n-grams and
-    ``seen_bits`` the broadcast bit table; both only steer the work.
+    ``seen_bits`` the broadcast bit table; both only steer the work. With
+    ``id_type`` None ids are taken as they are, of any ordered type.
     """
     spark = docs.sparkSession
     ready(spark)
     edge = np.uint64(int(counted * (1 << 64)))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = docs.select((F.col("doc_id").cast(id_type) if id_type else F.col("doc_id")).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    named = T.StructType([texts.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType())])
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +126,7 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["token"])
 
     # pass 1: classes, and in how many documents each counted n-gram is
-    rows = keep(texts.mapInArrow(classes, "doc_id long, n long, cls binary"))
+    rows = cut(texts.mapInArrow(classes, named))
     tokens = texts.select("text").mapInArrow(low, "token long")
     df = keep(tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
     shared = df.agg(F.sum("df")).first()[0] or 0
@@ -239,9 +241,8 @@ def _links(texts: DataFrame, size: int, classes: DataFrame, clusters: DataFrame,
     """
     # n-grams that stand for long lists are vertices too; only classes have sets
     members = clusters.select(F.col("vertex").alias("short"), "root").join(classes.select(F.col("cls").alias("short")), "short", "left_semi")
-    sizes = keep(members.groupBy("root").agg(F.count("*").alias("_size")).filter("_size > 1"))
-    total = sizes.agg(F.sum("_size")).first()[0] or 0
-    members = keep(join_groups(members, sizes, "root", "_size", total))
+    sizes = members.groupBy("root").agg(F.count("*").alias("_size")).filter("_size > 1")
+    members = cut(join_groups(members, sizes, "root"))
     table = _bit_table(members.select(F.col("short").alias("token")), seen_bits)
     wanted = texts.sparkSession.sparkContext.broadcast(table)
 
@@ -332,13 +333,12 @@ def _forest(names: list[bytes], sets: list[np.ndarray], percent: int, columns: i
 
 def _name(rows: DataFrame, linked: DataFrame) -> DataFrame:
     """Documents with the least doc_id of their component."""
-    per = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_size"))
-    per = keep(per.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("_root", F.coalesce("root", "cls")))
-    total = per.agg(F.sum("_size")).first()[0] or 0
-    named = per.groupBy("_root").agg(F.min("_first").alias("component_id"), F.count("*").alias("_classes"))
-    many = join_groups(per.filter("root IS NOT NULL").select("_root", "cls", "_size"), named.filter("_classes > 1"), "_root", "_classes", max(1, total))
-    alone = per.filter("root IS NULL").select("cls", "_size", F.col("_first").alias("component_id"))
-    classes = alone.unionByName(many.select("cls", "_size", "component_id"))
-    full = join_groups(rows.filter("n > 0"), classes, "cls", "_size", total)
+    per = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("_first"))
+    per = cut(per.join(linked.withColumnRenamed("vertex", "cls"), "cls", "left"))
+    # only classes with links need another's id
+    tied = per.filter("root IS NOT NULL")
+    tied = join_groups(tied.select("cls", "root"), tied.groupBy("root").agg(F.min("_first").alias("component_id")), "root").select("cls", "component_id")
+    alone = per.filter("root IS NULL").select("cls", F.col("_first").alias("component_id"))
+    full = join_groups(rows.filter("n > 0"), alone.unionByName(tied), "cls")
     empty = rows.filter("n = 0").withColumn("component_id", F.col("doc_id"))
     return full.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty.select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
