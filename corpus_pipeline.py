@@ -59,12 +59,10 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the least id of each component; a row without an id stays only where none has one."""
     named = _named(docs)
-    linked = link_components(named.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80)
-    members = keep(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias("_row"), "component_id"))
-    members = members.unionByName(members.select(F.col("component_id").alias("_row"), "component_id")).distinct()
-    members = keep(named.select("_row", "doc_id").join(members, "_row"))
-    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_first"))
-    return without_ids(named, members.join(first, "component_id").filter("_row <> _first").select("_row"), "_row").select(*docs.columns)
+    # ids in the order by which a component's row is chosen, with what tells rows of one id apart
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    linked = link_components(named.select(order.alias("doc_id"), "text"), size=5, percent=80, id_type=None)
+    return without_ids(named, linked.filter("doc_id <> component_id").select(F.col("doc_id.row").alias("_row")), "_row").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
