@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -74,6 +75,33 @@ def test_main_text_cases():
         assert html_text.main_text(html or "") == text
 
 
+MARKED = [
+    ("<article><h2 id='social-ads'>a</h2><section class='related-work'>b</section><p class='notice-period'>c</p><p id='comments'>d</p><h3 id='Navigation'>e</h3></article>", "a\nb\nc\nd\ne"),
+    ("<div class='site-footer x'>a</div><div id='mainMenu'>b</div><div class='adverse events'>c</div><ul class='share-buttons'><li>d</ul><div class='comment-list'>e</div>", "c"),
+    ("<table><tr><td>a<tr><td>b</table><ul><li>a<ul><li>b<li>c</ul><li>d</ul><dl><dt>a<dd>b<dt>c</dl>", "a\nb\na\nb\nc\nd\na\nb\nc"),
+]
+
+
+def test_class_words_alone_decide_nothing():
+    for html, text in MARKED:
+        assert html_text.main_text(html) == text
+
+
+@pytest.mark.parametrize("html", ["</b></i>" * 60_000, "<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 60_000 + "</i>" * 60_000, "<li><ul>" + "<div>" * 50_000 + "<li></li>" * 50_000, "<div>" * 60_000 + "</p>" * 60_000, "<p>" * 150_000, "<td>" * 120_000])
+def test_broken_markup_costs_no_more(html):
+    began = time.process_time()
+    html_text.parse(html)
+    assert time.process_time() - began < 4
+
+
+def test_menus_without_telling_names_go_by_recurrence(spark):
+    """Pages whose parts have no names at all: what the site repeats goes, what the page holds stays."""
+    menu = "<div class='x1'><ul><li>Home<li>News<li>Mail</ul></div>"
+    pages = [(k, f"http://h{k % 2}.org/{k}", f"<body><div>{menu}<div>Host {k % 2} says hello</div><div><h1>T {k}</h1><p>text {k} of the page</p></div></div></body>") for k in range(24)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract_text(df).collect()} == {k: f"T {k}\ntext {k} of the page" for k in range(24)}
+
+
 def test_templates_go(spark):
     bar = "<div><span>Our site</span> <div>since 1999</div></div>"
     pages = [(k, f"http://{h}/{k}", f"<body>{bar if h == 'a.com' else '<div>other ' + str(k) + '</div>'}<p>Same line</p><p>text {k}</p></body>") for k, h in enumerate(["a.com"] * 10 + ["b.com"] * 10)]

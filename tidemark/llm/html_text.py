@@ -4,10 +4,13 @@ A page is parsed into elements, and every block's subtree (its tags and text) is
 hashed, over the whole body and before any other rule: containers, text blocks
 and what is no content by its kind alike. Spark counts how many of the host's
 pages hold each hash, and on a second reading the subtrees that recur on many of
-them are deleted. Then what is no content by its kind or marks (navigation,
-headers and footers of the page, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) is left out, and the articles that still hold text, else
-the main elements, else the page are its content.
+them are deleted. Then what is no content by its kind (navigation, headers and
+footers of the page, sidebars, forms, scripts, styles) is left out, and so are
+containers whose id, class or role is made of nothing but words for such parts
+(notices, adverts, reader comments): "cookie-notice" is, "related-work" and
+"notice-period" are not, and headings, paragraphs and cells are never judged so.
+The articles that still hold text, else the main elements, else the page are its
+content.
 
 Pages of a host with equal content count as one, so that an article published
 many times stays whole; for the same reason an element that holds an article or
@@ -36,14 +39,16 @@ DROP = frozenset("head script style template noscript iframe textarea title svg
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CELLS = frozenset("td th".split())
 KEPT = frozenset("html body article main".split())
-#: Words in an element's id, class or role that mark it as no content.
+#: Elements that marks can drop; a heading's id is made of its words, so text blocks are none.
+CONTAINERS = frozenset("div section ul ol dl table details fieldset center span figure".split())
+#: Words in a container's id, class or role that mark it as no content, if all others are PLAIN.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer header masthead menu nav navbar navigation newsletter notice notices pagination popup promo promoted related replies reply share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split()
 )
-#: Start tags that end an open element of the second kind without an end tag.
-CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-#: An end-tag-less paragraph or cell does not reach beyond these.
-FENCE = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
+PLAIN = frozenset("area article bar bottom box buttons container content extra floating global group inner item items layout left links list lower main modal outer overlay page panel post primary right secondary section site slot sticky strip top unit upper wrap wrapper zone".split())
+#: By start tag: open elements that it ends, and those beyond which it ends none.
+_LIST, _TERMS, _ROW, _CELL, _CHOICE = (("li",), ("ul", "ol")), (("dt", "dd"), ("dl",)), (("tr", "td", "th"), ("table",)), (("td", "th"), ("table", "tr")), (("option",), ("select",))
+ENDS = {"li": _LIST, "dt": _TERMS, "dd": _TERMS, "tr": _ROW, "td": _CELL, "th": _CELL, "option": _CHOICE}
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -76,11 +81,12 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
             return True
-        marks = {w.lower() for w in _SPLIT.split(value)} if name in ("id", "class", "role") else set()
-        if inside:
-            marks -= {"header"}
-        if not MARKS.isdisjoint(marks):
-            return True
+        if tag in CONTAINERS and name in ("id", "class", "role"):
+            for token in value.strip("\"'").split():
+                words = {w.lower() for w in _SPLIT.split(token) if w}
+                marks = words & MARKS
+                if marks and words <= MARKS | PLAIN and not (inside and marks == {"header"}):
+                    return True
     return False
 
 
@@ -88,48 +94,87 @@ def _self_closed(attributes: str) -> bool:
     return bool(_CLOSED.search(attributes)) and not _OPEN_VALUE.search(attributes)
 
 
+class _Stack:
+    """The open elements, with what is needed to close them without walking over them."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes = [root]
+        self.articles = 0
+        #: places of the open blocks, and how many there are of each
+        self.blocks: list[int] = []
+        self.many: dict[str, int] = {}
+        #: open inline elements by tag, since the last open block
+        self.inline: list[dict[str, int]] = [{}]
+        #: by kind of ENDS, the places of the elements that it ends or stops at
+        self.marks: dict[tuple, list[int]] = {kind: [] for kind in ENDS.values()}
+
+    def push(self, node: Node) -> None:
+        place, tag = len(self.nodes), node.tag
+        self.nodes.append(node)
+        self.articles += tag in ("article", "main")
+        if tag in BLOCK:
+            self.blocks.append(place)
+            self.many[tag] = self.many.get(tag, 0) + 1
+            self.inline.append({})
+        else:
+            self.inline[-1][tag] = self.inline[-1].get(tag, 0) + 1
+        for kind, places in self.marks.items():
+            if tag in kind[0] or tag in kind[1]:
+                places.append(place)
+
+    def pop(self) -> Node:
+        node = self.nodes.pop()
+        self.articles -= node.tag in ("article", "main")
+        if node.tag in BLOCK:
+            self.blocks.pop()
+            self.many[node.tag] -= 1
+            self.inline.pop()
+        else:
+            self.inline[-1][node.tag] -= 1
+        for places in self.marks.values():
+            if places and places[-1] == len(self.nodes):
+                places.pop()
+        return node
+
+    def end(self, tag: str) -> None:
+        """An end tag closes its element and what is in it; an inline one does not close a block."""
+        if self.many.get(tag) if tag in BLOCK else self.inline[-1].get(tag):
+            while self.pop().tag != tag:
+                pass
+
+    def start(self, tag: str) -> None:
+        """What a start tag closes: an open paragraph, the list item, row or cell before it."""
+        if tag in BLOCK and self.blocks and self.nodes[self.blocks[-1]].tag == "p":
+            self.end("p")
+        if tag in ENDS:
+            places = self.marks[ENDS[tag]]
+            while places and self.nodes[places[-1]].tag in ENDS[tag][0]:
+                place = places[-1]
+                while len(self.nodes) > place:
+                    self.pop()
+
+
 def parse(html: str) -> Node:
     """The tree of a page; broken markup closes where HTML would close it."""
     root = Node("")
-    stack, at, end = [root], 0, len(html)
-    articles = 0
+    stack, at, end = _Stack(root), 0, len(html)
     while at < end:
         m = _TAG.search(html, at)
         if m is None:
-            stack[-1].parts.append(html[at:])
+            stack.nodes[-1].parts.append(html[at:])
             break
         if m.start() > at:
-            stack[-1].parts.append(html[at : m.start()])
+            stack.nodes[-1].parts.append(html[at : m.start()])
         at = m.end()
         if m.group(2) is None:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    articles -= sum(n.tag in ("article", "main") for n in stack[k:])
-                    del stack[k:]
-                    break
-                if tag not in BLOCK and stack[k].tag in BLOCK:
-                    break  # an inline end tag does not close a block
+            stack.end(tag)
             continue
-        if tag in BLOCK:
-            # a block ends an open paragraph, and inline elements in it
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCK:
-                    break
-        if tag in CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in FENCE.get(tag, ()):
-                    break
-                if stack[k].tag in CLOSES[tag]:
-                    del stack[k:]
-                    break
-        node = Node(tag, _marked(tag, m.group(3), articles > 0))
-        stack[-1].parts.append(node)
+        stack.start(tag)
+        node = Node(tag, _marked(tag, m.group(3), stack.articles > 0))
+        stack.nodes[-1].parts.append(node)
         if tag in VOID:
             continue
         if tag in ("svg", "math") and _self_closed(m.group(3)):
@@ -138,11 +183,9 @@ def parse(html: str) -> Node:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = close.end() if close else end
             continue
-        if m.group(3).rstrip().endswith("/"):
-            if tag not in BLOCK:
-                continue
-        articles += tag in ("article", "main")
-        stack.append(node)
+        if m.group(3).rstrip().endswith("/") and tag not in BLOCK:
+            continue
+        stack.push(node)
     return root
 
 
