@@ -313,6 +313,54 @@ def test_toxicity(spark):
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs, none).collect())
 
 
+def toxic_rows(rng, n, bad=("idiot", "scum", "moron")):
+    rows = []
+    for k in range(n):
+        out = [prose(rng, 8) for _ in range(rng.randrange(3, 12))]
+        if k % 4 == 0:
+            out[rng.randrange(len(out))] += " you " + rng.choice(bad)
+        rows.append((k, ". ".join(out), "en", "s", 1))
+    return rows
+
+
+def test_toxicity_of_long_texts(spark):
+    """Length alone is no evidence, and one sentence among 100,000 is found."""
+    rng = random.Random(21)
+    rows = toxic_rows(rng, 400)
+    long = ". ".join(prose(rng, 4) for _ in range(100_000))
+    cut = long.index(". ", len(long) // 2)
+    rows += [(900, long, None, None, 0), (901, f"{long[:cut]}. you idiot, you scum{long[cut:]}", None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS score", "2 AS held_out", "3 AS _id", "4 AS toxic")
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0), "x") for k in range(400)], "doc_id long, quality int, toxic int, text string")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score_documents(docs.filter("doc_id >= 900"), model).collect()}
+    assert got[900].score < 0.5 and got[900].predicted == 0 and got[901].predicted == 1
+    a, b = map(int, got[901].offending.split(",")[0].split(":"))
+    assert rows[-1][1][a:b].strip() == "you idiot, you scum."
+    assert toxicity.score_documents(docs.limit(0), model).count() == 0
+    assert toxicity.fit(docs.limit(0), labels).bias == -30.0
+
+
+def test_toxicity_against_brute_force(spark):
+    rng = random.Random(22)
+    rows = toxic_rows(rng, 300) + [(300, "Idiot!scum\nmoron? é", None, None, 0), (None, "you idiot", None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(300)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, sample_rows=100)
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+    assert weight
+    for r in toxicity.score_documents(docs, model).collect():
+        text = next(t for i, t, *_ in rows if i == r.doc_id)
+        scores = []
+        for sentence in re.split(r"(?<=[.!?\n])", text):
+            found = [w for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", sentence)]
+            known = [weight[h] for w in found for h in textblocks.words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[0].tolist() if h in weight]
+            scores.append(1 / (1 + np.exp(-(model.bias + sum(known)))) if known else 0.0)
+        strong = [p for p in scores if p >= toxicity.FLOOR]
+        assert r.score == pytest.approx(max([1 - np.prod([1 - p for p in strong]), *scores]), abs=1e-9)
+        assert r.predicted == int(r.score >= 0.5) and r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0)
+
+
 def edit_within(item, text):
     """Least edit distance of the item to any stretch, by the plain table."""
     row = [0] * (len(text) + 1)

@@ -6,6 +6,10 @@ trained from document labels alone, by gradient steps on the noisy-or likelihood
 with a normal prior on the weights; the same sentence probabilities then say where a
 document offends. Words are runs of letters and digits, hashed to 64 bits;
 sentences end at ``. ! ?`` and line ends.
+
+Length alone is no evidence: sentences of a probability under FLOOR do not add up,
+however many there are; the strongest of them stands for all. A sentence without
+a weighted word has none.
 """
 
 from __future__ import annotations
@@ -17,10 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import ready
+from tidemark.llm.common import ready, uniform
 from tidemark.llm.language import fold_of
 from tidemark.llm.textblocks import slices, words
 
+#: Sentences of less probability are not combined.
+FLOOR = 0.1
+
 _WORD = np.full(256, 0x20, np.uint8)
 for _a, _b in ((ord("0"), ord("9")), (ord("A"), ord("Z")), (ord("a"), ord("z")), (0x80, 0xFF)):
     _WORD[_a : _b + 1] = np.arange(_a, _b + 1)
@@ -46,13 +53,22 @@ class ToxicModel:
     bias: float
 
     def sentence_scores(self, hashed: np.ndarray, sentence: np.ndarray, count: int) -> np.ndarray:
-        z = np.full(count, self.bias)
-        if len(self.hashes) and len(hashed):
-            at = np.searchsorted(self.hashes, hashed)
-            at[at == len(self.hashes)] = 0
-            hit = self.hashes[at] == hashed
-            z += np.bincount(sentence[hit], self.weights[at[hit]], count)
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        """Probability of each sentence; 0 without a weighted word."""
+        if not len(self.hashes) or not len(hashed):
+            return np.zeros(count)
+        at = np.searchsorted(self.hashes, hashed)
+        at[at == len(self.hashes)] = 0
+        hit = self.hashes[at] == hashed
+        z = self.bias + np.bincount(sentence[hit], self.weights[at[hit]], count)
+        return np.where(np.bincount(sentence[hit], minlength=count) > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.0)
+
+    def document_scores(self, p: np.ndarray, text: np.ndarray, count: int) -> np.ndarray:
+        """Noisy-or of the sentences from FLOOR on, or the strongest sentence if that is more."""
+        top = np.zeros(count)
+        np.maximum.at(top, text, p)
+        strong = p >= FLOOR
+        clean = np.bincount(text[strong], np.log1p(-np.minimum(p[strong], 1 - 1e-12)), count)
+        return np.clip(np.maximum(top, -np.expm1(clean)), 0.0, 1.0)
 
 
 def train(labelled: Iterator[tuple[str, int]], words_at_most: int = 2000, least_documents: int = 3, least_z: float = 4.0, spread: float = 5.0, rounds: int = 600, rate: float = 0.05) -> ToxicModel:
@@ -92,22 +108,21 @@ def train(labelled: Iterator[tuple[str, int]], words_at_most: int = 2000, least_
         bag.append(np.full(count, d))
         base += count
     word, place, bag = np.concatenate(word), np.concatenate(place), np.concatenate(bag)
-    # sentences without a chosen word are alike: only their number per document matters
+    # sentences without a chosen word have no probability and don't count
     used, place = np.unique(place, return_inverse=True)
-    plain = np.bincount(bag, minlength=len(y)) - np.bincount(bag[used], minlength=len(y))
     bag = bag[used]
     w, b = np.zeros(len(hashes)), -4.0
     m1, m2, mb1, mb2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):
         logit = np.clip(b + np.bincount(place, w[word], len(used)), -30, 30)
-        p, p0 = 1 / (1 + np.exp(-logit)), 1 / (1 + np.exp(-b))
-        clean = np.bincount(bag, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y)) + plain * np.log1p(-p0)
+        p = 1 / (1 + np.exp(-logit))
+        clean = np.bincount(bag, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y))
         q = np.exp(clean)
         pull = np.where(y, q / np.maximum(1 - q, 1e-9), -1.0) / len(y)
         g = pull[bag] * p
         gw = np.bincount(word, g[place], len(w)) if len(w) else np.zeros(0)
         gw = gw - w / (spread * spread * len(y))
-        gb = g.sum() + (pull * plain).sum() * p0
+        gb = g.sum()
         m1, m2 = 0.9 * m1 + 0.1 * gw, 0.999 * m2 + 0.001 * gw * gw
         mb1, mb2 = 0.9 * mb1 + 0.1 * gb, 0.999 * mb2 + 0.001 * gb * gb
         c1, c2 = 1 - 0.9**step, 1 - 0.999**step
@@ -120,11 +135,16 @@ def train(labelled: Iterator[tuple[str, int]], words_at_most: int = 2000, least_
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, sample_chars: int = 40_000_000) -> ToxicModel:
     """Learn from labelled rows that are not held out.
 
-    The sample is the ``sample_rows`` rows with the least hash of the id, of
-    which whole texts are read up to ``sample_chars`` characters in all.
+    The sample is ``sample_rows`` rows by a hash of the id, of
+    which whole texts are read up to ``sample_chars`` characters in all. A count
+    comes first, so that of many labels only some more than the sample are sorted.
     """
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 0))
     marked = marked.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
+    labelled = marked.count()
+    if labelled > 2 * sample_rows:
+        # hashes are even, so about 1.5 samples are left; far fewer than one is out of the question
+        marked = marked.filter(uniform(F.lit(3), F.col("_id")) < 1.5 * sample_rows / labelled)
     ids = marked.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select(F.xxhash64("_id").alias("h"), "text", "_toxic").orderBy("h", "text")
 
@@ -161,9 +181,7 @@ def score_documents(docs: DataFrame, model: ToxicModel) -> DataFrame:
                 hashed, sentence, text, bounds = sentences(raw, offsets)
                 count = max(0, len(bounds) - 1)
                 p = model.sentence_scores(hashed, sentence, count)
-                p[np.bincount(sentence, minlength=count) == 0] = 0
-                total = -np.expm1(np.bincount(text, np.log1p(-np.minimum(p, 1 - 1e-12)), rows)) if count else np.zeros(rows)
-                total = np.clip(total, 0.0, 1.0)
+                total = model.document_scores(p, text, rows)
                 offending = [""] * rows
                 first = np.searchsorted(text, np.arange(rows + 1))
                 for d in np.flatnonzero(total >= 0.5).tolist():
