@@ -164,6 +164,42 @@ def test_surrogates(spark):
     assert pii.replace_pii(df.limit(0)).count() == 0
 
 
+def mod97(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_surrogates_keep_checks_and_identity(spark):
+    texts = ["Mr Alex Brown met Ms Alex Green and Dr. Alex White.", "Ms Alex Green again", "contact Anna Schmidt lives in Berlin; contact Anna Schmidt.", "iban DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432, FR1420041010050500013M02606", "my name is Rosa Lopez. Rosa!"]
+    got = [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    m, f, n = re.fullmatch(r"Mr (\w+)o \w+ met Ms (\w+)a \w+ and Dr\. (\w+)e \w+\.", got[0]).groups()
+    assert m == f == n and got[1].startswith(f"Ms {f}a ")
+    assert "Anna" not in got[2] and "Schmidt" not in got[2] and "Berlin" in got[2] and len(set(re.findall(r"contact (\w+ \w+)", got[2]))) == 1
+    for old, new in zip(re.findall(r"[A-Z]{2}\d\d[A-Z0-9 ]+\d", texts[3]), re.findall(r"[A-Z]{2}\d\d[A-Z0-9 ]+\d", got[3])):
+        old, new = old.replace(" ", ""), new.replace(" ", "")
+        assert mod97(old) == mod97(new) == 1 and old[:2] == new[:2] and old != new and len(old) == len(new)
+    assert "Rosa" not in got[4] and "Lopez" not in got[4]
+    other = [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "another key").orderBy("doc_id").collect()]
+    assert all(a != b for a, b in zip(got, other))
+
+
+def test_surrogates_of_a_full_format(spark, monkeypatch):
+    """Every address of the format is a real one: distinct all the same, and none is real."""
+    monkeypatch.setattr(pii, "ROUNDS", 1)
+    real = [f"{a}@{b}.de" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    df = spark.createDataFrame([(k, f"to {m} now") for k, m in enumerate(real)], "doc_id long, text string")
+    got = [re.fullmatch(r"to (\S+@\S+\.de) now", r.text)[1] for r in pii.replace_pii(df).collect()]
+    assert len(set(got)) == len(real) and not set(got) & set(real)
+
+
+def test_hmac(spark):
+    import hashlib
+    import hmac
+
+    for key in ("k", "ключ" * 60):
+        got = spark.range(1).selectExpr(f"{pii.hmac_sql(key, "'Anna ж'")} AS h").first().h
+        assert got == hmac.new(key.encode(), "Anna ж".encode(), hashlib.sha512).hexdigest()
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """Draws that collide are drawn again: here most first draws are made to."""
     plain = pii.surrogate_sql
