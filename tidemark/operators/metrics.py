@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
+from tidemark.operators.decode import FILTERED, UNBOUND
+
 COUNTERS = ("rows_processed", "batches_flushed", "bytes_written", "processing_ns", "flush_ns")
 
 
@@ -31,10 +33,18 @@ def with_batches(changes: DataFrame, size: int = 8192) -> DataFrame:
     return changes.withColumn("batch", batch_number(F.row_number().over(order), size))
 
 
-def observed(df: DataFrame, name: str = "capture") -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str = "capture", counter: str = "rows_processed") -> tuple[DataFrame, Observation]:
     """Counts rows as they pass, without a pass of its own."""
     watch = Observation(name)
-    return df.observe(watch, F.count(F.lit(1)).alias("rows_processed")), watch
+    return df.observe(watch, F.count(F.lit(1)).alias(counter)), watch
+
+
+def watched(changes: DataFrame, name: str = "decode") -> tuple[DataFrame, Observation]:
+    """Counts reported change rows by what became of them, without a pass of its own."""
+    watch = Observation(name)
+    fault = F.col("_error")
+    kinds = {"rows_processed": fault.isNull(), "events_unbound": fault == UNBOUND, "tables_filtered": fault == FILTERED, "rows_quarantined": fault.isNotNull() & ~fault.isin(UNBOUND, FILTERED)}
+    return changes.observe(watch, *(F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in kinds.items())), watch
 
 
 def filter_counts(events: DataFrame, admitted: Column) -> DataFrame:

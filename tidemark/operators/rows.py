@@ -40,12 +40,12 @@ def expand(bound: DataFrame, unsigned: dict[str, tuple[int, ...]] | None = None)
                     for index, dml, before, after in read_rows_json(e["event_type"], e["data"], types, metas, e["version_two"], wide.get(f"{tail[0]}.{tail[1]}", frozenset())):
                         held.append((*base, index, *tail, dml, before, after, None))
                         if len(held) >= OUT_ROWS:
-                            yield _batch(held)
+                            yield rows_batch(held)
                             held = []
                 except WireError as fault:
                     held.append((*base, index + 1, *tail, dml or e["dml_type"], None, None, str(fault)))
         if held:
-            yield _batch(held)
+            yield rows_batch(held)
 
     from tidemark.operators.envelope import dml_type
 
@@ -83,5 +83,6 @@ def display(bound: DataFrame) -> DataFrame:
     return known.select("binlog_file", "timestamp", "server_id", "log_pos", "event_type", "data", "table", "version_two").mapInArrow(read, "binlog_file string, log_pos long, event_row_index long, value string")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
+def rows_batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Tuples in the order of CHANGES as one batch."""
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)], schema=_OUT)

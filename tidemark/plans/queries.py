@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import decimal, ints, temporal, text
-from tidemark.operators import analytics, bind, envelope, filters, metrics, rows, sinks
+from tidemark.operators import analytics, bind, decode, envelope, filters, metrics, sinks
 from tidemark.plans.synthetic import CHANGES_SQL, order_changes, place, table
 from tidemark.schema import FORMAT_DESCRIPTION, TABLE_MAP, TYPE_CODES, UPDATE_ROWS, WRITE_ROWS
 from tidemark.shipping import ship
@@ -274,8 +274,8 @@ SELECT binlog_file, row_number() OVER (PARTITION BY o_orderkey // 20 ORDER BY o_
 FROM i
 """)
 def row_event_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders encoded as row events, bound to their table maps and decoded."""
-    decoded = rows.expand(bind.bind(order_events(spark, sf_dir)))
+    """Orders encoded as row events, bound to their table maps and decoded in one pass."""
+    decoded = decode.decode(order_events(spark, sf_dir))
     return decoded.select("binlog_file", "event_row_index", "database", "table_name", "dml_type", "after_values")
 
 
@@ -328,11 +328,15 @@ def rotate_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A folder that driver and executors share: the checkpoint folder, or one of our own where none is named."""
+    """A folder that driver and executors share: the checkpoint folder, or one of our own in a local session without one."""
     import tempfile
     import uuid
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemark-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 from pyspark.sql.types import StructType
 
-from tidemark.schema import EVENT, FIRST_POSITION, FORMAT_DESCRIPTION, HEADER_BYTES, KEPT_EVENTS, MAGIC, ROW_EVENTS
+from tidemark.schema import EVENT, FIRST_POSITION, FORMAT_DESCRIPTION, HEADER_BYTES, KEPT_EVENTS, MAGIC, ROTATE, ROW_EVENTS
 from tidemark.shipping import ship
 from tidemark.sources.wire import FormatDescription, Header, WireError, strip_checksum
 from tidemark.spec import file_number
@@ -111,6 +111,22 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
+def whole_statements(events: Iterator[tuple], most: int) -> list[tuple]:
+    """Rows of EVENT up to the end of the statement that brings them to ``most``, or of the last one there is."""
+    rows: list[tuple] = []
+    ready = 0  # rows up to here end a statement
+    for row in events:
+        if row[2] not in ROW_EVENTS and (not rows or rows[-1][2] in ROW_EVENTS or rows[-1][2] == FORMAT_DESCRIPTION):
+            ready = len(rows)
+            if ready >= most:
+                break
+        rows.append(row)
+    else:
+        # at the log's end a rotation is whole, a table map may still lack its rows
+        ready = len(rows) if not rows or rows[-1][2] in ROW_EVENTS or rows[-1][2] == ROTATE else ready
+    return rows[:ready]
+
+
 class BinlogStream(SimpleDataSourceStreamReader):
     """Offsets are a file and a position, always between statements.
 
@@ -138,21 +154,8 @@ class BinlogStream(SimpleDataSourceStreamReader):
                 yield from (e for e in log.events(file, start["pos"]) if e[1] >= start["pos"])
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows: list[tuple] = []
-        end = start
-        ready = 0  # rows up to here end a statement
-        for row in self._walk(start):
-            if row[2] not in ROW_EVENTS and (not rows or rows[-1][2] in ROW_EVENTS or rows[-1][2] == FORMAT_DESCRIPTION):
-                ready = len(rows)
-                if ready >= self.most:
-                    break
-            rows.append(row)
-        else:
-            ready = len(rows) if not rows or rows[-1][2] in ROW_EVENTS else ready
-        rows = rows[:ready]
-        if rows:
-            end = {"file": rows[-1][0], "pos": rows[-1][6]}
-        return iter(rows), end
+        rows = whole_statements(self._walk(start), self.most)
+        return iter(rows), {"file": rows[-1][0], "pos": rows[-1][6]} if rows else start
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         last = (file_number(end["file"]), end["pos"])
