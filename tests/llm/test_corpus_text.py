@@ -313,6 +313,48 @@ def test_toxicity(spark):
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs, none).collect())
 
 
+def test_evidence_is_valid_and_finds_keys():
+    """Under the text model the e-value's mean is at most 1; random keys of most encodings reach far beyond."""
+    rng = np.random.default_rng(1)
+    letters = np.array(secrets.LETTERS) / sum(secrets.LETTERS)
+    kinds = list("".join(chr(97 + k) for k in range(26))), list("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), list("0123456789"), list("+/-_=")
+    shares = letters, letters, np.full(10, 0.1), np.full(5, 0.2)
+    total = []
+    for _ in range(6000):
+        row, token = secrets.STEPS[""], ""
+        for _ in range(20):
+            kind = rng.choice(4, p=row)
+            token += rng.choice(kinds[kind], p=shares[kind])
+            row = secrets._ROWS[kind]
+        total.append(np.exp(secrets.evidence(token)) * secrets.combined(token))
+    assert np.mean(total) <= 1
+    for name in ("hex", "base62", "base64", "base32"):
+        chars = list(dict(secrets.ALPHABETS)[name])
+        found = [e > 8 for e in (secrets.candidates("".join(rng.choice(chars, 48)), [])[0][2] for _ in range(100))]
+        assert np.mean(found) >= 0.9, name
+
+
+def test_candidates_sweep_the_spans():
+    """Those that touch a span are left out, as by comparing all; 10 MB of both take seconds."""
+    rng = random.Random(31)
+    for _ in range(50):
+        text = "".join(rng.choice(("token=abcdefgh ", "deadbeef" * rng.randrange(1, 5), "xK9" * rng.randrange(3, 12), " ", "-")) for _ in range(60))
+        spans = secrets.base_spans(text)
+        want = [m.start() for m in secrets._RUN.finditer(text) if len(m.group().rstrip("=")) >= secrets.LEAST and not any(a < m.end() and m.start() < b for a, _, b in spans)]
+        assert [c[0] for c in secrets.candidates(text, spans)] == want
+    import time
+
+    text = ("secret=abcdefgh0 " + "wordsandwordsandwordsandwords ") * 220_000
+    began = time.process_time()
+    spans = secrets.base_spans(text)
+    assert len(spans) == len(secrets.candidates(text, spans)) == 220_000 and time.process_time() - began < 60
+
+
+def test_secrets_of_nothing(nothing, docs):
+    assert secrets.scan_secrets(nothing).count() == 0
+    assert secrets.scan_secrets(docs.selectExpr("*", "1 AS base", "2 AS more", "3 AS spans")).count() == docs.count()
+
+
 def toxic_rows(rng, n, bad=("idiot", "scum", "moron")):
     rows = []
     for k in range(n):

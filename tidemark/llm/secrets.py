@@ -1,19 +1,22 @@
 """Secret scan: fixed patterns, and a randomness test battery with false-discovery control.
 
 Patterns find assigned passwords and tokens, access keys and long hex. Besides,
-every maximal run of key characters (``LEAST`` or more) is a candidate. Its
-encoding is the smallest alphabet that holds it. The battery tests whether it
-looks drawn evenly from that alphabet: chi-squared on the characters, a runs
-test about the middle of the alphabet, and the serial correlation of neighbours.
-A candidate that any test rejects is no secret.
-
-What is left must also be too unlikely as ordinary text. The evidence is the
-likelihood ratio of even draws to a model of written words (an e-value: under
-the text model its mean is at most 1), and length sets what it can reach. So
-candidates are judged against others of their length: in each length band the
-e-value form of Benjamini and Hochberg's procedure keeps the share of false
-finds at ``ALPHA``. Its thresholds come from counts over all documents, a
-histogram of bounded size.
+every maximal run of key characters (``LEAST`` or more) is a candidate, unless it
+touches one of their spans. Its encoding is the smallest alphabet that holds it. The
+battery tests whether it looks drawn evenly from that alphabet: chi-squared on
+the characters, a runs test about the middle of the alphabet, and the serial
+correlation of neighbours.
+
+The evidence for a candidate is an e-value under the hypothesis that it is
+ordinary text: the likelihood ratio of even draws to a model of written words, as
+a mixture over the alphabets (each has an equal share, since the alphabet is
+chosen after the characters are seen), times the battery's combined p-value. Under
+the text model the ratio's mean is at most 1, and the p-value only lowers it: what
+does not look random would need that much more evidence. Length sets what the
+evidence can reach, so candidates are judged against others of their length: in
+each length band the e-value form of Benjamini and Hochberg's procedure keeps the
+share of false finds at ``ALPHA``. Its thresholds come from counts over all
+documents, a histogram of bounded size.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST = 20
 BANDS = (20, 28, 40, 64)
 ALPHA = 0.01
-#: A candidate is not random if a test of the battery has a p-value (times the number of tests) below this.
+#: A combined p-value below which the battery is said to reject, for reports; the procedure takes the p-value itself.
 REJECT = 0.001
 BINS_PER_NAT = 4
 
@@ -113,15 +116,21 @@ def battery(token: str) -> tuple[float, float, float]:
     return _two_sided(chi_z), runs_p, serial_p
 
 
+def combined(token: str) -> float:
+    """One p-value of the battery's tests, by Bonferroni."""
+    tests = battery(token)
+    return min(1.0, len(tests) * min(tests))
+
+
 def evidence(token: str) -> float:
-    """Log of the likelihood of even draws over that of the text model."""
+    """Log of the likelihood of even draws, in a mixture over the alphabets, over that of the text model (a lower bound: the best alphabet's part)."""
     _, at = encoding(token)
     text, row = 0.0, STEPS[""]
     for c in token:
         kind, share = _PLACE[c]
         text += math.log(row[kind] * share)
         row = _ROWS[kind]
-    return -len(token) * math.log(len(at)) - text
+    return -len(token) * math.log(len(at)) - text - math.log(len(ALPHABETS))
 
 
 def band_of(length: int) -> int:
@@ -141,17 +150,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:
-    """(start, end, evidence) of runs apart from the spans taken; evidence is -inf if the battery rejects."""
+    """(start, end, log of the e-value) of runs apart from the spans taken, which are in order of their starts."""
     out = []
+    spans = iter(taken)
+    ahead, reach = next(spans, None), -1
     for m in _RUN.finditer(text):
+        # runs are in order too: spans that begin before a run's end are passed once
+        while ahead is not None and ahead[0] < m.end():
+            reach, ahead = max(reach, ahead[2]), next(spans, None)
         token = m.group().rstrip("=")
-        start, end = m.start(), m.start() + len(token)
-        if len(token) < LEAST or any(a < m.end() and start < b for a, _, b in taken):
+        if len(token) < LEAST or reach > m.start():
             continue
         e = evidence(token)
-        if e > 0 and min(battery(token)) * 3 < REJECT:
-            e = -math.inf
-        out.append((start, end, e))
+        if e > 0:
+            p = combined(token)
+            e = e + math.log(p) if p else -math.inf
+        out.append((m.start(), m.start() + len(token), e))
     return out
 
 
