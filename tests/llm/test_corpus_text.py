@@ -196,6 +196,22 @@ def test_mixing_keeps_probabilities(spark):
         assert mean == pytest.approx(runs[0][source[0]][1], abs=0.06)
 
 
+def test_mixing_of_many_rows_alike(spark):
+    """50,000 rows without an id and of one size are dealt over all blocks, and reruns agree."""
+    import time
+
+    rows = spark.range(50_000).selectExpr("cast(null as long) AS doc_id", "'three words here' AS text", "'a' AS source").unionByName(spark.range(2_000).selectExpr("id AS doc_id", "repeat('w ', cast(id % 50 as int)) AS text", "'b' AS source"))
+    began = time.time()
+    got = mixing.mix_sources(rows.selectExpr("*", "1 AS n", "2 AS _k", "3 AS _part")).groupBy("doc_id", "size", "target", "taken").count().collect()
+    assert time.time() - began < 60
+    again = mixing.mix_sources(rows.repartition(7)).groupBy("doc_id", "size", "target", "taken").count().collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    alike = [r for r in got if r.doc_id is None]
+    assert sum(r["count"] for r in alike) == 50_000
+    target = alike[0].target
+    assert abs(sum(r.taken * r["count"] for r in alike) - target) <= 3
+
+
 def test_mixing_of_nothing(nothing, spark):
     assert mixing.mix_sources(nothing).count() == 0
     blank = spark.createDataFrame([(1, "", None, "a", 0), (2, None, None, None, 0)], SCHEMA)
