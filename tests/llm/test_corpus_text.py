@@ -252,6 +252,48 @@ def test_suffix_automaton_parses_like_brute_force():
         assert model.phrases(raw, np.array([0, len(raw)]))[0, 0] == pytest.approx(brute_phrases(probe, text), abs=1)
 
 
+def automaton_model(sample):
+    """A model of one language over a-e and blank."""
+    column = np.zeros(256, np.uint8)
+    column[:6] = np.arange(1, 7)
+    states = language.suffix_automaton(column[language.symbols(np.frombuffer(sample.encode(), np.uint8))])
+    table = np.full((len(states), 8), -1, np.int32)
+    for s, moves in enumerate(states):
+        for c, to in moves.items():
+            table[s, c] = to * 8
+    table[:, 7] = np.arange(len(states)) * 8
+    return language.LanguageModel(("x",), column, 8, (table.reshape(-1),), (1.0,))
+
+
+@pytest.mark.parametrize("sample", ["abcd bdca dacb abdc" * 9, "a" * 700, "ab" * 400 + "c"])
+def test_parsing_of_long_texts_is_whole(sample):
+    """Phrases run over the borders of segments, whatever the sample, and over any number of them."""
+    rng = random.Random(41)
+    model = automaton_model(sample)
+    texts = ["a" * 3000, "ab" * 1500, "".join(rng.choice("abcd ") for _ in range(2000)).replace("  ", " "), "", "e", sample * 3, sample[: language.SEGMENT], sample[: language.SEGMENT + 1], "abz" * 300]
+    texts = [re.sub("  +", " ", t) for t in texts]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    want = [brute_phrases(t, sample) for t in texts]
+    got = model.phrases(raw, offsets)[:, 0].tolist()
+    assert got == want
+    alone = [model.phrases(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0, 0] for t in texts]
+    assert got == alone
+
+
+def test_a_hundred_languages(spark):
+    """Each with words of its own; the model keeps its bounds, and one long row is not all of it."""
+    rng = random.Random(42)
+    say = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(30)] for k in range(100)}
+    rows = [(1000 * j + k, " ".join(rng.choice(say[lang]) for _ in range(60)), lang, "s", 1) for j in range(4) for k, lang in enumerate(say)]
+    rows.append((9001, "zzzzz " * 40_000, "l00", "s", 1))
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS lang_pred", "2 AS score", "3 AS _id", "4 AS _lang", "5 AS h")
+    model = language.fit(docs, symbols_in_all=1 << 16)
+    assert len(model.languages) == 100 and sum(len(t) for t in model.tables) * 4 < 3 * (1 << 16) * model.width * 4
+    got = language.predict_languages(docs).collect()
+    assert np.mean([r.lang_pred == f"l{r.doc_id % 1000:02d}" for r in got if r.doc_id < 9000]) > 0.97
+
+
 def test_language_id(spark):
     rng = random.Random(3)
     say = {"en": ("the", "water", "with", "house", "which"), "de": ("der", "und", "straße", "über", "nicht"), "fr": ("le", "être", "où", "avec", "garçon")}

@@ -9,9 +9,11 @@ with the fewest phrases so normalised wins.
 Automata work on bytes of lower-cased text: a-z and the bytes of other letters
 each have a symbol, anything else is one blank however long. Their transitions
 are dense tables, broadcast (``symbols_per_language`` bounds each; with many
-languages ``symbols_in_all`` bounds them together). Whole texts are parsed in
-segments of 256 symbols, all segments of a block in step, so the cost is a few
-array look-ups a byte and language.
+languages ``symbols_in_all`` bounds them together, to some 100 MB). Whole texts are
+parsed; all segments of a block run in step, each as if a phrase began with it, so
+the cost is a few array look-ups a byte and language. Then each segment is run
+again from the state in which the one before it ended, until the two runs meet,
+which takes some symbols; the result is the parsing of the whole text.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from tidemark.llm.textblocks import slices
 
 UNDETERMINED = "und"
 SEGMENT = 256
+#: Rounds in which ends of segments are passed on to all that follow at once; what then still changes is passed on one by one.
+ROUNDS = 4
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -81,6 +85,8 @@ class LanguageModel:
 
     ``column`` maps a symbol to a table column; column 0 is for symbols that no
     sample has, the last one pads segments. Entries are row starts, -1 for none.
+    Each table gets one more row, without a transition: there a text begins, and
+    there a symbol that the sample lacks leads, a phrase by itself.
     """
 
     languages: tuple[str, ...]
@@ -89,6 +95,14 @@ class LanguageModel:
     tables: tuple[np.ndarray, ...]
     bits: tuple[float, ...]
 
+    def __post_init__(self) -> None:
+        def closed(table: np.ndarray) -> np.ndarray:
+            none = np.full(self.width, -1, np.int32)
+            none[-1] = len(table)
+            return np.concatenate([table, none])
+
+        object.__setattr__(self, "tables", tuple(map(closed, self.tables)))
+
     def phrases(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Phrases x log2(sample length) of each text, a row per text and a column per language."""
         texts = len(offsets) - 1
@@ -110,41 +124,100 @@ class LanguageModel:
         place = np.arange(len(cols)) - np.repeat(ends[:-1], sizes) + np.repeat(first * SEGMENT, sizes)
         grid.reshape(-1)[place] = cols
         steps = np.ascontiguousarray(grid.T)
+        follows = np.concatenate([[False], owner[1:] == owner[:-1]])
         for k, (table, bits) in enumerate(zip(self.tables, self.bits)):
-            root = np.maximum(table[: self.width], 0)
-            state = np.zeros(len(owner), np.int32)
-            count = np.zeros(len(owner), np.int32)
-            for step in steps:
-                after = table.take(state + step)
-                missed = after < 0
-                count += missed
-                state = np.where(missed, root.take(step), after)
-            out[:, k] = np.bincount(owner, count + 1.0, texts) * bits
+            out[:, k] = np.bincount(owner, _misses(table, self.width, steps, follows), texts) * bits
         return out
 
 
-def fit(docs: DataFrame, rows_per_language: int = 64, symbols_per_language: int = 16_384, symbols_in_all: int = 1 << 20) -> LanguageModel:
+def _misses(table: np.ndarray, width: int, steps: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Phrases that begin in each segment; one that follows another goes on in its state."""
+    none = np.int32(len(table) - width)
+    root = np.where(table[:width] < 0, none, table[:width]).astype(np.int32)
+    lanes = steps.shape[1]
+    state = np.full(lanes, none, np.int32)
+    states, missed = [], []
+    for step in steps:
+        after = table.take(state + step)
+        miss = after < 0
+        state = np.where(miss, root.take(step), after)
+        states.append(state)
+        missed.append(miss)
+    count = np.sum(missed, axis=0, dtype=np.int32)
+    start = np.full(lanes, none, np.int32)
+
+    def rerun(dirty: np.ndarray, wanted: np.ndarray) -> None:
+        """Run segments from other states until they meet their old runs, which are put right."""
+        start[dirty] = wanted
+        now = wanted
+        for t, step in enumerate(steps):
+            after = table.take(now + step[dirty])
+            miss = after < 0
+            now = np.where(miss, root.take(step[dirty]), after)
+            count[dirty] += miss.astype(np.int32) - missed[t][dirty]
+            met = now == states[t][dirty]
+            states[t][dirty] = now
+            missed[t][dirty] = miss
+            if met.any():
+                dirty, now = dirty[~met], now[~met]
+                if not len(dirty):
+                    return
+
+    def differing() -> tuple[np.ndarray, np.ndarray]:
+        before = np.where(follows, np.concatenate([[none], states[-1][:-1]]), none).astype(np.int32)
+        dirty = np.flatnonzero(before != start)
+        return dirty, before[dirty]
+
+    for _ in range(ROUNDS):
+        dirty, wanted = differing()
+        if not len(dirty):
+            return count
+        rerun(dirty, wanted)
+    for lane in range(int(differing()[0][0]) if len(differing()[0]) else lanes, lanes):
+        before = states[-1][lane - 1] if follows[lane] else none
+        if before != start[lane]:
+            rerun(np.array([lane]), np.array([before], np.int32))
+    return count
+
+
+def _shares(rows: list[np.ndarray], bound: int) -> list[np.ndarray]:
+    """The rows, the longer ones cut to one length, so that they have ``bound`` symbols at most."""
+    left, most = bound, 0
+    for k, size in enumerate(sorted(map(len, rows))):
+        most = left // (len(rows) - k)
+        if size > most:
+            break
+        left, most = left - size, size
+    return [r[: max(1, most)] for r in rows][:bound]
+
+
+def fit(docs: DataFrame, rows_per_language: int = 64, symbols_per_language: int = 16_384, symbols_in_all: int = 1 << 18, rows_in_all: int = 4096) -> LanguageModel:
     """Learn from text and lang of rows that are not held out.
 
     Per language the ``rows_per_language`` rows with the least hash of the id
-    are read, and of them ``symbols_per_language`` symbols at most are used.
+    are read (fewer if with all languages they would be more than
+    ``rows_in_all``), and of them ``symbols_per_language`` symbols at most are
+    used: shorter rows whole, of longer ones an equal share from a place that
+    the id's hash says.
     """
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of(F.col("doc_id")) != 0))
+    labelled = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of(F.col("doc_id")) != 0))
+    languages = max(1, labelled.select("lang").distinct().count())
+    rows_per_language = max(1, min(rows_per_language, rows_in_all // languages))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = labelled.select("doc_id", "lang").withColumn("_r", rank).filter(F.col("_r") <= rows_per_language)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     wanted = labelled.join(F.broadcast(chosen), (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("lang") == F.col("_lang")))
-    sample: dict[str, list] = {}
-    for lang, text, _ in wanted.select("lang", F.lower(F.substring("text", 1, 4 * symbols_per_language)), F.xxhash64("doc_id").alias("h")).distinct().orderBy("lang", "h").toLocalIterator():
-        sample.setdefault(lang, []).append(text)
-    texts = {}
-    bound = min(symbols_per_language, symbols_in_all // max(1, len(sample)))
-    for lang in sorted(sample):
-        sym = symbols(np.frombuffer(" ".join(sample[lang]).encode(), np.uint8))
+    bound = max(1, min(symbols_per_language, symbols_in_all // languages))
+    spare = F.greatest(F.length("text") - bound, F.lit(0))
+    stretch = F.substring("text", F.lit(1) + F.pmod(F.xxhash64("doc_id"), spare + 1).cast("int"), F.lit(bound))
+    sample: dict[str, list[np.ndarray]] = {}
+    for lang, text, _ in wanted.select("lang", F.lower(stretch), F.xxhash64("doc_id").alias("h")).distinct().orderBy("lang", "h").toLocalIterator():
+        sym = symbols(np.frombuffer((text + " ").encode(), np.uint8))
         kept = np.ones(len(sym), bool)
         kept[1:] = (sym[1:] != 0) | (sym[:-1] != 0)
-        if sym.any():
-            texts[lang] = sym[kept][:bound]
+        if sym.any() and len(sample.setdefault(lang, [])) < rows_per_language:
+            sample[lang].append(sym[kept])
+    texts = {lang: np.concatenate(_shares(sample[lang], bound)) for lang in sorted(sample) if sample[lang]}
     used = sorted(set().union(*(set(np.unique(t).tolist()) for t in texts.values()))) if texts else []
     column = np.zeros(256, np.uint8)
     for k, s in enumerate(used):
