@@ -8,7 +8,7 @@ URLs and rules are dealt into ranges of the key; each range is swept in order of
 the key with a stack of the rules' intervals that are open, and every URL
 asks the open hosts for their longest fitting path.
 
-Range borders come from a bounded sample of URL keys and affect balance alone. A
+Range borders come from a sample of some 20,000 URL keys and affect balance alone. A
 host that fills several ranges is dealt over all of them by the page's hash, and
 rules are copied to every range that their interval meets.
 """
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import keep, ready
+from tidemark.llm.common import keep, ready, uniform
 
 #: Fixed by the contract: host, path, verdict.
 RULES = (
@@ -31,6 +31,8 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
+#: URLs of one range, about.
+RANGE_ROWS = 1_000_000
 #: The verdict where no rule fits.
 OTHERWISE = "allow"
 
@@ -114,11 +116,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE, r
     """
     spark = pages.sparkSession
     ready(spark)
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     url = F.col("url").cast("string")
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     urls = keep(urls.withColumn("key", key_of(F.col("host"))))
-    sampled = sorted(r[0] for r in urls.select("key", F.xxhash64("page_id", "key").alias("h")).orderBy("h").limit(sample_rows).select("key").toLocalIterator())
+    count = urls.count()
+    ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // RANGE_ROWS))
+    # an even share of the rows by hash: about sample_rows of them, and all where there are fewer
+    share = uniform(F.lit(5), F.col("page_id"), F.col("key"), F.monotonically_increasing_id()) < sample_rows / max(1, count)
+    sampled = sorted(r[0] for r in urls.filter(share).select("key").toLocalIterator())
     borders = [sampled[len(sampled) * k // ranges] for k in range(1, ranges)] if sampled else []
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +146,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE, r
     wanted = rules.select(F.translate(F.col("host").cast("string"), _UPPER, _LOWER).alias("host"), F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "verdict").filter("host <> ''").distinct()
     copied = wanted.withColumn("key", key_of(F.col("host"))).mapInArrow(copy, "at int, host string, path string, key string, verdict string")
     both = dealt.withColumns({"kind": F.lit(1), "verdict": F.lit(None).cast("string")}).unionByName(copied.withColumns({"kind": F.lit(0), "page_id": F.lit(None).cast("long")}))
-    swept = both.repartition(ranges, "at").sortWithinPartitions("at", "key", "kind")
+    # a range is a partition: hashed numbers would put several in one and leave others empty
+    swept = both.repartitionById(ranges, F.col("at")).sortWithinPartitions("at", "key", "kind")
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, now = Sweep(), None
