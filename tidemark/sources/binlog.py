@@ -95,7 +95,9 @@ class BinlogReader(DataSourceReader):
     def partitions(self) -> list[LogFile]:
         return Log(self.options).files()
 
-    def read(self, partition: LogFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: LogFile | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there was no file to read
+            return
         held, size = [], 0
         for row in Log(self.options).events(partition):
             held.append(row)
