@@ -342,3 +342,24 @@ def _name(rows: DataFrame, linked: DataFrame) -> DataFrame:
     full = join_groups(rows.filter("n > 0"), alone.unionByName(tied), "cls")
     empty = rows.filter("n = 0").withColumn("component_id", F.col("doc_id"))
     return full.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty.select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
+
+
+#: Pairs that share an n-gram are counted, which only a small table bears.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [hash(w)]
+                                 ELSE list_transform(range(1, len(w) - 2), lambda i: hash(w[i:i+3])) END) AS g
+  FROM w),
+c AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+i AS (SELECT x.r AS a, y.r AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.r < y.r GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM i JOIN c ca ON ca.r = a JOIN c cb ON cb.r = b WHERE 100 * k >= 85 * (ca.n + cb.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t(r, q) AS (SELECT r, r FROM w UNION SELECT t.r, e.b FROM t JOIN e ON e.a = t.q)
+SELECT w.doc_id, coalesce(c.n, 0) AS n_shingles, (SELECT min(o.doc_id) FROM t JOIN w o ON o.r = t.q WHERE t.r = w.r) AS component_id
+FROM w LEFT JOIN c ON c.r = w.r
+"""

@@ -59,4 +59,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_pii_surrogates, op3_toxicity, op4_mix_sources, op5_url_rules, op6_exact_dedup, op7_decontaminate, op8_language_id, op9_html_text, op10_ngram_join)
 }
 
-ORACLE_SQL = {"op5_url_rules": urlrules.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op5_url_rules": urlrules.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op10_ngram_join": ngram_join.ORACLE_SQL}
