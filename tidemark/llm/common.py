@@ -80,7 +80,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | Column) -> DataFrame:
     """Inner join of rows with one row per group.
 
     A group may hold much of the table: with the groups' side unique by key,

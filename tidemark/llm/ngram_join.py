@@ -16,13 +16,15 @@ lesser l of the two before it counts as a candidate.
 Lists of at most ``list_bound`` classes are paired; a longer list (only sets made
 almost wholly of common n-grams have those) ties its classes to a node that
 stands for the n-gram. Components of that candidate graph are clusters; each
-class's whole set goes to its cluster once (a third reading of the texts), where exact overlaps are counted by matrix
-products, block against block, and a spanning forest of the exact links comes
-out. So pairs within a group are never listed, and no link is lost.
+class's whole set goes to its cluster (a third reading of the texts), where exact
+overlaps are counted by matrix products, block against block, and a spanning forest
+of the exact links comes out. In a large cluster only blocks of sets whose sizes
+allow a link meet. So pairs within a group are never listed, and no link is lost.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,7 +166,7 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85, counted:
     nodes = lists.filter("hot").select(F.col("cls").alias("a"), F.col("token").alias("b"))
     candidates = _candidates(lists.filter(~F.col("hot")).drop("hot"), list_bound, percent)
     clusters = components(candidates.unionByName(nodes))
-    return _name(rows, components(_links(texts, size, second.select("cls"), clusters, percent, seen_bits)))
+    return _name(rows, components(_links(texts, size, second.select("cls", "n"), clusters, percent, seen_bits)))
 
 
 def _bit_table(df: DataFrame, most: int) -> np.ndarray:
@@ -240,9 +242,16 @@ def _links(texts: DataFrame, size: int, classes: DataFrame, clusters: DataFrame,
     broadcast bit table tells, each once a task.
     """
     # n-grams that stand for long lists are vertices too; only classes have sets
-    members = clusters.select(F.col("vertex").alias("short"), "root").join(classes.select(F.col("cls").alias("short")), "short", "left_semi")
-    sizes = members.groupBy("root").agg(F.count("*").alias("_size")).filter("_size > 1")
-    members = cut(join_groups(members, sizes, "root"))
+    members = clusters.select(F.col("vertex").alias("short"), "root").join(classes.select(F.col("cls").alias("short"), "n").distinct(), "short")
+    # sets of linked classes differ in size by less than a band's width or by one band
+    width = math.log(100 / min(percent, 99)) + 1e-9
+    members = members.withColumn("_band", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
+    sizes = members.groupBy("root", "_band").agg(F.count("*").alias("_c"))
+    near = sizes.select("root", "_c", F.explode(F.array(*(F.struct((F.col("_band") - d).alias("_band"), F.lit(d).alias("d")) for d in (-1, 0, 1)))).alias("_n")).select("root", "_c", "_n.*")
+    counted = lambda d: F.coalesce(F.sum(F.when(F.col("d") == d, F.col("_c"))), F.lit(0))
+    near = near.groupBy("root", "_band").agg(counted(-1).alias("_below"), counted(0).alias("_size"), counted(1).alias("_above")).filter("_size > 0")
+    whole = sizes.groupBy("root").agg(F.sum("_c").alias("_all")).filter("_all > 1")
+    members = cut(join_groups(join_groups(members, whole, "root"), near.withColumnRenamed("root", "_r").withColumnRenamed("_band", "_b"), (F.col("root") == F.col("_r")) & (F.col("_band") == F.col("_b"))).drop("_r", "_b"))
     table = _bit_table(members.select(F.col("short").alias("token")), seen_bits)
     wanted = texts.sparkSession.sparkContext.broadcast(table)
 
@@ -259,12 +268,17 @@ def _links(texts: DataFrame, size: int, classes: DataFrame, clusters: DataFrame,
                     yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["cls", "short", "set"])
 
     members = texts.select("text").mapInArrow(sets, "cls binary, short long, set binary").join(members, "short").dropDuplicates(["short", "cls"])
-    side = F.ceil(F.col("_size") / CLUSTER_BLOCK).cast("int")
-    members = members.withColumn("_k", side).withColumn("_own", F.pmod(F.xxhash64("cls"), F.col("_k")).cast("int"))
-    # a member of block i takes part in every meeting (i, j) and (j, i)
-    members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    members = members.select("root", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "cls", "set")
-    meetings = members.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    # a small cluster is one meeting; of a large one, blocks of one band meet, and those of a band with the next band's
+    blocks = {c: F.ceil(F.col(c) / CLUSTER_BLOCK).cast("int") for c in ("_below", "_size", "_above")}
+    own = lambda c: F.pmod(F.xxhash64("cls"), F.greatest(blocks[c], F.lit(1))).cast("int")
+    place = lambda band, kind, i, j: F.struct(band.alias("band"), F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    each = lambda c, f: F.when(blocks[c] > 0, F.transform(F.sequence(F.lit(0), F.greatest(blocks[c], F.lit(1)) - 1), f)).otherwise(F.array().cast("array<struct<band:int,kind:int,i:int,j:int>>"))
+    mine, band = own("_size"), F.col("_band")
+    many = F.concat(each("_size", lambda o: place(band, 0, F.least(mine, o), F.greatest(mine, o))), each("_above", lambda o: place(band, 1, mine, o)), each("_below", lambda o: place(band - 1, 1, o, mine)))
+    zero = F.lit(0)
+    members = members.withColumn("_at", F.explode(F.when(F.col("_all") <= CLUSTER_BLOCK, F.array(place(F.lit(-1), 0, zero, zero))).otherwise(many)))
+    members = members.select("root", "_at.*", "cls", "set")
+    meetings = members.repartition("root", "band", "kind", "i", "j").sortWithinPartitions("root", "band", "kind", "i", "j")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, names, held = None, [], []
@@ -276,10 +290,10 @@ def _links(texts: DataFrame, size: int, classes: DataFrame, clusters: DataFrame,
                 found.clear()
 
         for batch in batches:
-            for root, i, j, cls, raw in zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "cls", "set"))):
-                if (root, i, j) != key:
+            for *meeting, cls, raw in zip(*(batch.column(c).to_pylist() for c in ("root", "band", "kind", "i", "j", "cls", "set"))):
+                if meeting != key:
                     found += _forest(names, held, percent)
-                    key, names, held = (root, i, j), [], []
+                    key, names, held = meeting, [], []
                     yield from out(10_000)
                 names.append(cls)
                 held.append(np.frombuffer(raw, np.uint64))
