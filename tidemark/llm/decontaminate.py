@@ -109,39 +109,46 @@ class Walks:
     sampled: int
     seed: int = 7
 
-    def keys(self, text: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each table, a 32-bit hash of the sampled places of every window, and what the walk wrote (a row per step).
-
-        Whether a step moves on is the top bit of a random function of the character, in eight-bit arithmetic.
-        """
-        rng = np.random.default_rng(self.seed)
-        for walk in range(WALKS):
-            first, second = 2 * rng.integers(0, 128, (2, self.steps), dtype=np.uint8) + 1
-            term = rng.integers(0, 256, self.steps, dtype=np.uint8)
-            own = range(walk, self.tables, WALKS)
-            # a place from each of as many equal stretches: places that cluster would meet any text
-            at = [((rng.random(self.sampled) + np.arange(self.sampled)) * self.steps / self.sampled).astype(int).tolist() for _ in own]
-            spread = [2 * rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32) + 1 for _ in own]
-            written = np.empty((self.steps, len(starts)), np.uint32)
-            place = starts.copy()
-            for t in range(self.steps):
-                char = text.take(place, mode="clip")
-                written[t] = char
-                char += term[t]
-                char *= first[t]
-                char ^= char >> 4
-                char *= second[t]
-                char >>= 7
-                place += char
-            part = np.empty(len(starts), np.uint32)
-            for where, factors in zip(at, spread):
-                key = np.zeros(len(starts), np.uint32)
-                for t, f in zip(where, factors):
-                    np.multiply(written[t], f, out=part)
-                    key += part
-                # the low bits of the sum see only the low bits of the characters
-                key ^= key >> np.uint32(15)
-                yield key, written
+    def sampled_places(self, walk: int) -> Iterator[tuple[list[int], np.ndarray]]:
+        """For each table of a walk its places, one from each of as many equal stretches (places that cluster would meet any text), and their factors."""
+        rng = np.random.default_rng((self.seed, self.steps, walk))
+        for _ in range(walk, self.tables, WALKS):
+            places = ((rng.random(self.sampled) + np.arange(self.sampled)) * self.steps / self.sampled).astype(int).tolist()
+            yield places, 2 * rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32) + 1
+
+    def keys(self, walk: int, written: np.ndarray) -> Iterator[np.ndarray]:
+        """For each table of a walk a 32-bit hash of the sampled places of every window."""
+        part = np.empty(written.shape[1], np.uint32)
+        for where, factors in self.sampled_places(walk):
+            key = np.zeros(written.shape[1], np.uint32)
+            for t, f in zip(where, factors):
+                np.multiply(written[t], f, out=part)
+                key += part
+            # the low bits of the sum see only the low bits of the characters
+            key ^= key >> np.uint32(15)
+            yield key
+
+
+def walked(text: np.ndarray, starts: np.ndarray, walk: int, steps: int, seed: int = 7) -> np.ndarray:
+    """What a walk writes from each start, a row per step; shorter walks are its beginning.
+
+    Whether a step moves on is the top bit of a random function of the character, in eight-bit arithmetic.
+    """
+    rng = np.random.default_rng((seed, walk))
+    first, second = 2 * rng.integers(0, 128, (2, PAD), dtype=np.uint8) + 1
+    term = rng.integers(0, 256, PAD, dtype=np.uint8)
+    written = np.empty((steps, len(starts)), np.uint32)
+    place = starts.copy()
+    for t in range(steps):
+        char = text.take(place, mode="clip")
+        written[t] = char
+        char += term[t]
+        char *= first[t]
+        char ^= char >> 4
+        char *= second[t]
+        char >>= 7
+        place += char
+    return written
 
 
 def distance_within(item: str, text: str, most: int | None = None) -> tuple[int, int, int]:
@@ -295,44 +302,42 @@ class Index:
         at = np.concatenate([s + k[2] for s, k in zip(starts, kept)])
         begin = np.concatenate([s - int(k[3][0] == 0x20) for s, k in zip(starts, kept)])
         places = 1 << max(16, (32 * len(at) - 1).bit_length())
-        keys, order, may, walked = [], [], [], []
-        last = None
-        for key, written in walks.keys(text, at):
-            # the tables of a walk share what it wrote
-            walked.append(walked[-1] if written is last else written.T.astype(np.uint8))
-            last = written
-            o = np.argsort(key, kind="stable")
-            yes = np.zeros(places, bool)
-            yes[key & np.uint32(places - 1)] = True
-            keys.append(key[o])
-            order.append(o.astype(np.int32))
-            may.append(yes)
+        keys, order, may, wrote = [], [], [], []
+        for walk in range(WALKS):
+            written = walked(text, at, walk, walks.steps)
+            wrote.append(written.T.astype(np.uint8))
+            for key in walks.keys(walk, written):
+                o = np.argsort(key, kind="stable")
+                yes = np.zeros(places, bool)
+                yes[key & np.uint32(places - 1)] = True
+                keys.append(key[o])
+                order.append(o.astype(np.int32))
+                may.append(yes)
         runs = []
         for length, pairs in sorted(whole.items()):
             pairs.sort()
             runs.append((length, np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs])))
-        return Index(tuple((k[0], k[1]) for k in kept), walks, np.concatenate(owner), begin, tuple(keys), tuple(order), tuple(may), tuple(walked), tuple(len(k[1].encode()) for k in kept), tuple(runs))
-
-    def candidates(self, text: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(number of a start, number of an item's window) that agree in some table."""
-        found: set[tuple[int, int]] = set()
-        # so many windows at a time stay in the processor's cache
-        for first in range(0, len(starts), CHUNK):
-            for (key, written), keys, order, may, walked in zip(self.walks.keys(text, starts[first : first + CHUNK]), self.keys, self.order, self.may, self.walked):
-                who = np.flatnonzero(may.take(key & np.uint32(len(may) - 1)))
-                asked = key[who]
-                a = np.searchsorted(keys, asked)
-                hit = keys.take(a, mode="clip") == asked
-                who, a, asked = who[hit], a[hit], asked[hit]
-                many = np.searchsorted(keys, asked, "right") - a
-                # every window with each of the item windows of its key
-                who = np.repeat(who, many)
-                other = order[np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(a, many)]
-                for part in range(0, len(who), CHUNK):
-                    w, o = who[part : part + CHUNK], other[part : part + CHUNK]
-                    near = np.count_nonzero(written[:, w].T != walked[o], axis=1) <= FAR * self.walks.steps
-                    found.update(zip((first + w[near]).tolist(), o[near].tolist()))
-        return found
+        return Index(tuple((k[0], k[1]) for k in kept), walks, np.concatenate(owner), begin, tuple(keys), tuple(order), tuple(may), tuple(wrote), tuple(len(k[1].encode()) for k in kept), tuple(runs))
+
+    def candidates(self, walk: int, written: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(number of a start, number of an item's window) that agree in some table of a walk, as far as they are not FAR."""
+        written = written[: self.walks.steps]
+        first = sum(len(range(w, self.walks.tables, WALKS)) for w in range(walk))
+        for k, key in enumerate(self.walks.keys(walk, written), first):
+            keys, order, may = self.keys[k], self.order[k], self.may[k]
+            who = np.flatnonzero(may.take(key & np.uint32(len(may) - 1)))
+            asked = key[who]
+            a = np.searchsorted(keys, asked)
+            hit = keys.take(a, mode="clip") == asked
+            who, a, asked = who[hit], a[hit], asked[hit]
+            many = np.searchsorted(keys, asked, "right") - a
+            # every window with each of the item windows of its key
+            who = np.repeat(who, many)
+            other = order[np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(a, many)]
+            for part in range(0, len(who), CHUNK):
+                w, o = who[part : part + CHUNK], other[part : part + CHUNK]
+                near = np.count_nonzero(written[:, w].T != self.walked[walk][o], axis=1) <= FAR * self.walks.steps
+                yield from zip(w[near].tolist(), o[near].tolist())
 
     def copies(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         """(place, number of an item) of all runs of words that are a short item."""
@@ -347,15 +352,23 @@ def find_in(indexes: list[Index], raw: np.ndarray, offsets: np.ndarray, similari
     """(text number, item, distance, start, end) of the best occurrence of each item in each text."""
     text, back, ends = normalise(raw, offsets)
     starts = word_starts(text, ends)
-    for index in indexes:
-        yield from _find(index, text, back, ends, starts, raw, offsets, similarity)
+    found: list[set[tuple[int, int]]] = [set() for _ in indexes]
+    longest = max((index.walks.steps for index in indexes), default=0)
+    # so many windows at a time stay in the processor's cache; a walk serves the tables of all lengths
+    for first in range(0, len(starts), CHUNK):
+        for walk in range(WALKS):
+            written = walked(text, starts[first : first + CHUNK], walk, longest)
+            for index, pairs in zip(indexes, found):
+                pairs.update((first + w, o) for w, o in index.candidates(walk, written))
+    for index, pairs in zip(indexes, found):
+        yield from _verified(index, pairs, text, back, ends, starts, raw, offsets, similarity)
 
 
-def _find(index: Index, text: np.ndarray, back: np.ndarray, ends: np.ndarray, starts: np.ndarray, raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
+def _verified(index: Index, pairs: set[tuple[int, int]], text: np.ndarray, back: np.ndarray, ends: np.ndarray, starts: np.ndarray, raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
     # places to look at: a text, an item, and where the item would begin
     looks: dict[tuple[int, int], set[int]] = {}
     owners = np.searchsorted(ends, starts, "right") - 1
-    for w, window in index.candidates(text, starts):
+    for w, window in pairs:
         item = int(index.owner[window])
         looks.setdefault((int(owners[w]), item), set()).add(int(starts[w]) - int(index.begin[window]))
     for at, item in index.copies(text, starts, ends):
