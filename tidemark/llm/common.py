@@ -14,7 +14,7 @@ from tidemark.shipping import ship
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Bytes of one Arrow batch to or from a Python worker, unless one row is longer.
-ARROW_BYTES = 4 << 20
+ARROW_BYTES = 1 << 20
 
 
 def words_in(text: Column) -> Column:
