@@ -40,7 +40,7 @@ from tidemark.llm.textblocks import mix, slices, words
 CLASSES = ((40, 16, 5), (96, 32, 8), (1 << 62, 48, 10))
 PAD = max(steps for _, steps, _ in CLASSES)
 WALKS = 2
-#: Share of unequal places in the best of a passage's windows that tables are made for; at 20 % edits nine passages in ten have less.
+#: Share of unequal places in the best of a passage's windows that tables are made for; set by the recall that came of it at 20 % edits.
 UNEQUAL = 0.2
 CHUNK = 1 << 14
 #: Windows that agree in a table are no candidates if a larger share of all places is unequal.
