@@ -11,8 +11,8 @@ def _pairs(hexed: Column, width: int, backwards: bool) -> Column:
 
 
 def hex_to_long(digits: Column) -> Column:
-    """Hex digits, at most 15, as a long."""
-    return F.conv(digits, 16, 10).cast("long")
+    """Hex digits, at most 16, as a long; 16 of them in two's complement."""
+    return F.conv(digits, 16, -10).cast("long")
 
 
 def uint_le(data: Column, width: int, offset: int = 0) -> Column:
@@ -22,10 +22,8 @@ def uint_le(data: Column, width: int, offset: int = 0) -> Column:
 
 def int_le(data: Column, width: int, offset: int = 0) -> Column:
     """Little-endian two's complement integer of up to 8 bytes."""
-    if width < 8:
-        value = uint_le(data, width, offset)
-        return value - F.when(value >= 1 << (8 * width - 1), F.lit(1 << (8 * width))).otherwise(F.lit(0))
-    return F.shiftleft(int_le(data, 4, offset + 4).cast("long"), 32).bitwiseOR(uint_le(data, 4, offset))
+    # the value is named once, for what names it twice computes it twice
+    return F.shiftright(F.shiftleft(uint_le(data, width, offset), 64 - 8 * width), 64 - 8 * width)
 
 
 def uint_be(data: Column, width: int, offset: int = 0) -> Column:

@@ -229,8 +229,12 @@ def time2_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT l_orderkey, l_linenumber, l_partkey AS le, l_suppkey AS be, l_orderkey - 30000 AS small, -l_partkey AS wide FROM lineitem")
 def int_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
-    part, key = F.col("l_partkey"), F.col("l_orderkey")
-    return line.select("l_orderkey", "l_linenumber", ints.uint_le(ints.to_le(part, 6), 6).alias("le"), ints.uint_be(ints.to_be(F.col("l_suppkey"), 4), 4).alias("be"), ints.int24(ints.to_le(key - 30_000, 3)).alias("small"), ints.int_le(ints.to_le(-part, 8), 8).alias("wide"))
+    part, small = F.col("l_partkey"), F.col("l_orderkey") - 30_000
+    # a key that three bytes can't hold goes in eight, as a table's owner would widen the column
+    narrow = small.between(-(1 << 23), (1 << 23) - 1)
+    data = F.when(narrow, ints.to_le(small, 3)).otherwise(ints.to_le(small, 8))
+    three = F.when(F.length(data) == 3, ints.int24(data)).otherwise(ints.int_le(data, 8))
+    return line.select("l_orderkey", "l_linenumber", ints.uint_le(ints.to_le(part, 6), 6).alias("le"), ints.uint_be(ints.to_be(F.col("l_suppkey"), 4), 4).alias("be"), three.alias("small"), ints.int_le(ints.to_le(-part, 8), 8).alias("wide"))
 
 
 # --- bytes and back ---------------------------------------------------------
