@@ -137,6 +137,61 @@ def test_stream_is_exactly_once(spark, log, tmp_path):
     assert found(got) == ALL and got.select("_batch").distinct().count() > 1
 
 
+def test_a_query_runs_through_all_batches(spark, log, tmp_path, monkeypatch):
+    from tidemark.streaming import follow as module
+
+    started, follow = [], module.follow
+    monkeypatch.setattr(module, "follow", lambda *a, **k: started.append(1) or follow(*a, **k))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    assert catch_up(spark, log, SPEC, out, checkpoint, max_events=2) > 2 and len(started) == 1
+    assert found(spark.read.parquet(out).withColumnRenamed("_file", "binlog_file")) == ALL
+
+
+def planned(stream, start, end):
+    """Rows that the tasks of a batch read, and the files they read."""
+    parts = stream.partitions(start, end)
+    return [r for p in parts for b in stream.read(p) for r in zip(*(c.to_pylist() for c in b.columns))], [p.name for p in parts]
+
+
+@pytest.mark.parametrize("most", [1, 3, 5, 1000])
+def test_tasks_read_what_a_batch_takes_of_each_file(log, most):
+    from tidemark.sources.binlog import BinlogStream, Log
+
+    options = {"path": log, "max_events": str(most)}
+    want = [e for f in Log(options).files() for e in Log(options).events(f)]
+    stream = BinlogStream(options)
+    start, got = stream.initialOffset(), []
+    while (end := stream.latestOffset()) != start:
+        rows, files = planned(stream, start, end)
+        assert rows and len(files) == len({r[0] for r in rows})
+        # the same from a checkpoint, with and without what the offset says of the format description
+        assert planned(BinlogStream(options), start, end)[0] == rows
+        assert planned(BinlogStream(options), {k: start[k] for k in ("file", "pos")}, end)[0] == rows
+        got += rows
+        start = end
+    assert got == want and stream.partitions(end, end) == []
+
+
+def test_a_stream_finds_what_a_file_got_before_the_next_began(log, tmp_path):
+    from tidemark.sources.binlog import BinlogStream, Log
+
+    names = [f.name for f in Log({"path": log}).files()]
+    data = [open(f"{log}/{n}", "rb").read() for n in names]
+    options = {"path": str(tmp_path)}
+    (tmp_path / names[0]).write_bytes(data[0][: len(data[0]) * 2 // 3])
+    stream = BinlogStream(options)
+    start, got = stream.initialOffset(), []
+    for grown in (False, True):
+        if grown:
+            (tmp_path / names[0]).write_bytes(data[0])
+            (tmp_path / names[1]).write_bytes(data[1])
+        while (end := stream.latestOffset()) != start:
+            got += planned(stream, start, end)[0]
+            start = end
+        assert bool(got) and (len({r[0] for r in got}) == 2) == grown
+    assert got == [e for f in Log({"path": log}).files() for e in Log({"path": log}).events(f)]
+
+
 def test_envelope_requires(spark):
     df = spark.createDataFrame([(1, 1, 4, 1, None, None, "INSERT", None, "{}")], "timestamp long, server_id int, log_pos long, event_row_index long, database string, table_name string, dml_type string, before_values string, after_values string")
     assert envelope.to_envelope(df).count() == 1

@@ -2,27 +2,32 @@
 
 Options: ``path`` (a folder or one file; a URI that pyarrow's file systems read,
 or a local path), ``from_file``, ``from_pos``, ``to_file``, ``to_pos``,
-``verify_checksum``, ``all_events`` and, for streams, ``max_events``. A file is
-one partition: its events are found by hopping from header to header.
+``verify_checksum``, ``all_events`` and, for streams, ``max_events``. A file (of
+a stream, what a batch takes of it) is one partition: its events are found by
+hopping from header to header.
 """
 
 from __future__ import annotations
 
+import io
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from tidemark.schema import EVENT, FIRST_POSITION, FORMAT_DESCRIPTION, HEADER_BYTES, KEPT_EVENTS, MAGIC, ROTATE, ROW_EVENTS
 from tidemark.shipping import ship
-from tidemark.sources.wire import FormatDescription, Header, WireError, strip_checksum
+from tidemark.sources.wire import FormatDescription, WireError, strip_checksum
 from tidemark.spec import file_number
 
 BATCH_EVENTS, BATCH_BYTES = 4096, 16 << 20
+READ_AHEAD = 1 << 18
+_HEADER = struct.Struct("<IBIIIH")
 _ARROW = pa.schema([("binlog_file", pa.string()), ("start_pos", pa.int64()), ("event_type", pa.int32()), ("timestamp", pa.int64()), ("server_id", pa.int64()), ("event_size", pa.int64()), ("log_pos", pa.int64()), ("flags", pa.int32()), ("data", pa.binary())])
 
 
@@ -31,6 +36,14 @@ class LogFile(InputPartition):
         self.path, self.name = path, name
 
 
+class LogStretch(LogFile):
+    """What lies in a file between two places (to its end, if ``upto`` is None); ``form`` is where the format description in force stands."""
+
+    def __init__(self, file: LogFile, at: int, form: int | None, upto: int | None) -> None:
+        super().__init__(file.path, file.name)
+        self.at, self.form, self.upto = at, form, upto
+
+
 class Log:
     """The files of a log and the events in them."""
 
@@ -56,34 +69,47 @@ class Log:
         high = file_number(self.last[0]) if self.last[0] else None
         return [LogFile(path, name) for n, path, name in numbered if (low is None or n >= low) and (high is None or n <= high)]
 
-    def events(self, file: LogFile, at: int = FIRST_POSITION) -> Iterator[tuple]:
-        """Events from a place on, as rows of EVENT; the file's format description is read whatever the place."""
+    def events(self, file: LogFile, at: int = FIRST_POSITION, form: int | None = None, upto: int | None = None, bodies: bool = True) -> Iterator[tuple]:
+        """Events from a place on, as rows of EVENT; the file's format description is read whatever the place.
+
+        If the place of the format description in force is given (``form``), nothing
+        between it and the first event is read. Events that end beyond ``upto`` are
+        left out. Without bodies rows hold no data, and those are not read.
+        """
         begin = max(at, self.first[1]) if file.name == self.first[0] else at
         stop = self.last[1] if self.last[0] in (None, file.name) else None
-        with self.fs.open_input_file(file.path) as f:
+        with self.fs.open_input_file(file.path) as raw:
+            size, f = raw.size(), io.BufferedReader(raw, READ_AHEAD)
             if f.read(len(MAGIC)) != MAGIC:
                 raise WireError(f"{file.name} is no binary log")
             checksum, pos = False, FIRST_POSITION
+            if form is not None:
+                pos = form
+                f.seek(pos)
             while True:
                 head = f.read(HEADER_BYTES)
                 if len(head) < HEADER_BYTES:
                     return  # the end, or an event still being written
-                h = Header.read(head)
-                if h.event_size < HEADER_BYTES:
-                    raise WireError(f"event of {h.event_size} bytes at {pos} in {file.name}")
-                end = pos + h.event_size
-                wanted = h.event_type == FORMAT_DESCRIPTION or pos >= begin and (self.all or h.event_type in KEPT_EVENTS)
-                if stop is not None and end >= stop and pos >= begin:
+                timestamp, kind, server, length, _, flags = _HEADER.unpack(head)
+                if length < HEADER_BYTES:
+                    raise WireError(f"event of {length} bytes at {pos} in {file.name}")
+                end = pos + length
+                wanted = kind == FORMAT_DESCRIPTION or pos >= begin and (self.all or kind in KEPT_EVENTS)
+                if pos >= begin and (stop is not None and end >= stop or upto is not None and end > upto):
                     return
+                body = b""
                 if wanted:
-                    body = f.read(end - pos - HEADER_BYTES)
-                    if len(body) < end - pos - HEADER_BYTES:
+                    if bodies:
+                        body = f.read(end - pos - HEADER_BYTES)
+                    if len(body) < end - pos - HEADER_BYTES if bodies else end > size:
                         return
-                    if h.event_type == FORMAT_DESCRIPTION:
+                    if kind == FORMAT_DESCRIPTION and bodies:
                         checksum = FormatDescription.read(body).checksum
                     # end positions are counted here: the header's field is 32 bits
-                    yield (file.name, pos, h.event_type, h.timestamp, h.server_id, h.event_size, end, h.flags, strip_checksum(body, checksum, head, self.verify))
-                else:
+                    yield (file.name, pos, kind, timestamp, server, length, end, flags, strip_checksum(body, checksum, head, self.verify) if bodies else None)
+                if pos == form and end < at:
+                    end = at
+                if not (wanted and bodies) or end == at:
                     f.seek(end)
                 pos = end
 
@@ -98,15 +124,19 @@ class BinlogReader(DataSourceReader):
     def read(self, partition: LogFile | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # there was no file to read
             return
-        held, size = [], 0
-        for row in Log(self.options).events(partition):
-            held.append(row)
-            size += len(row[-1])
-            if len(held) >= BATCH_EVENTS or size >= BATCH_BYTES:
-                yield _batch(held)
-                held, size = [], 0
-        if held:
+        yield from _batches(Log(self.options).events(partition))
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1])
+        if len(held) >= BATCH_EVENTS or size >= BATCH_BYTES:
             yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -129,16 +159,19 @@ def whole_statements(events: Iterator[tuple], most: int) -> list[tuple]:
     return rows[:ready]
 
 
-class BinlogStream(SimpleDataSourceStreamReader):
-    """Offsets are a file and a position, always between statements.
+class BinlogStream(DataSourceStreamReader):
+    """Offsets are a file, a position, always between statements, and where the file's format description stands.
 
     A batch never ends between a table map and its rows, so every batch holds
-    the table maps that its row events need.
+    the table maps that its row events need. The driver reads headers only, to find
+    a batch's end; tasks read the events, one for each file.
     """
 
     def __init__(self, options: dict[str, str]) -> None:
         self.options = options
         self.most = int(options.get("max_events", 10_000))
+        self.at: dict | None = None  # the end of the last batch planned
+        self.known: list[LogFile] = []
 
     def initialOffset(self) -> dict:
         log = Log(self.options)
@@ -146,25 +179,67 @@ class BinlogStream(SimpleDataSourceStreamReader):
         return {"file": log.first[0] or (files[0].name if files else ""), "pos": log.first[1]}
 
     def _walk(self, start: dict) -> Iterator[tuple]:
-        log = Log(self.options)
-        first = file_number(start["file"]) if start["file"] else None
-        for file in log.files():
-            number = file_number(file.name)
-            if first is None or number > first:
-                yield from log.events(file)
-            elif number == first:
-                yield from (e for e in log.events(file, start["pos"]) if e[1] >= start["pos"])
-
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = whole_statements(self._walk(start), self.most)
-        return iter(rows), {"file": rows[-1][0], "pos": rows[-1][6]} if rows else start
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        last = (file_number(end["file"]), end["pos"])
-        for row in self._walk(start):
-            if (file_number(row[0]), row[6]) > last:
+        """Headers from the offset on, as rows without data, each with the place of the format description in force.
+
+        Files are listed again only when those known are through, as a log may have
+        very many. Then the last of them is read on first: it may have grown before
+        the next began.
+        """
+        log, place, listed = Log(self.options), start, not self.known
+        self.known = self.known or log.files()
+        while True:
+            first = file_number(place["file"]) if place["file"] else None
+            self.known = [f for f in self.known if first is None or file_number(f.name) >= first]
+            for file in self.known:
+                at, form = (place["pos"], place.get("format")) if file_number(file.name) == first else (FIRST_POSITION, None)
+                for row in log.events(file, at, form, bodies=False):
+                    if row[2] == FORMAT_DESCRIPTION:
+                        form = row[1]
+                    if row[1] >= at:
+                        yield (*row[:8], form)
+                        place = self._offset(row, form)
+            if listed:
+                return
+            was, self.known, listed = self.known, log.files(), True
+            if len(was) == sum(first is None or file_number(f.name) >= first for f in self.known):
                 return
-            yield row
+
+    @staticmethod
+    def _offset(row: tuple, form: int | None) -> dict:
+        """The place after an event."""
+        return {"file": row[0], "pos": row[6]} | ({} if form is None else {"format": form})
+
+    def latestOffset(self) -> dict:
+        if self.at is None:
+            self.at = self.initialOffset()
+        rows = whole_statements(self._walk(self.at), self.most)
+        if rows:
+            self.at = self._offset(rows[-1], rows[-1][8])
+        return self.at
+
+    def partitions(self, start: dict, end: dict) -> list[LogStretch]:
+        if self.at is None:  # the query goes on from its checkpoint
+            self.at = end
+        if start == end:
+            return []
+        first, last = file_number(start["file"]) if start["file"] else None, file_number(end["file"])
+        files = self.known
+        if not files or first is None or not file_number(files[0].name) <= first <= last <= file_number(files[-1].name):
+            # a batch of before the checkpoint
+            files = Log(self.options).files()
+        out = []
+        for file in files:
+            number = file_number(file.name)
+            if (first is None or number >= first) and number <= last:
+                at, form = (start["pos"], start.get("format")) if number == first else (FIRST_POSITION, None)
+                upto = end["pos"] if number == last else None
+                if upto is None or at < upto:
+                    out.append(LogStretch(file, at, form, upto))
+        return out
+
+    def read(self, partition: LogStretch) -> Iterator[pa.RecordBatch]:
+        rows = Log(self.options).events(partition, partition.at, partition.form, partition.upto)
+        yield from _batches(row for row in rows if row[1] >= partition.at)
 
     def commit(self, end: dict) -> None:
         """Files are kept by the server; nothing to release."""
@@ -181,7 +256,7 @@ class BinlogSource(DataSource):
     def reader(self, schema: StructType) -> BinlogReader:
         return BinlogReader(dict(self.options))
 
-    def simpleStreamReader(self, schema: StructType) -> BinlogStream:
+    def streamReader(self, schema: StructType) -> BinlogStream:
         return BinlogStream(dict(self.options))
 
 
