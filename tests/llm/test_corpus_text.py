@@ -551,6 +551,18 @@ def test_q_gram_bound():
         assert not decontaminate.out_of_reach(a, b, decontaminate.distance_within(a, b)[0])
 
 
+def test_walks_draw_their_places_once(monkeypatch):
+    bench = [(k, " ".join(f"word{k}x{j}" for j in range(n))) for k, n in enumerate((3, 8, 30))]
+    kinds = [decontaminate.Walks(6, steps, sampled, seed=71) for _, steps, sampled in decontaminate.CLASSES]
+    indexes = [decontaminate.Index.build(bench, walks, least, below, least == 0) for walks, least, below in zip(kinds, (0, 40, 96), (40, 96, 1 << 62))]
+    raw = np.frombuffer(" ".join(["no", bench[2][1], "yes"] * 300).encode(), np.uint8)
+    drawn, make = [], np.random.default_rng
+    monkeypatch.setattr(decontaminate.np.random, "default_rng", lambda *a: drawn.append(a) or make(*a))
+    for _ in range(3):
+        found = {(item, distance) for _, (item, _), distance, _, _ in decontaminate.find_in([x for x in indexes if x.items], raw, np.array([0, len(raw)]), 0.8)}
+    assert found == {(2, 0)} and not drawn
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     items = [(k, "Item É%d: " % k + prose(rng, 30)) for k in range(20)] + [(90, None), (91, "short"), (5, "Item É5 again " + prose(rng, 30))]

@@ -113,12 +113,15 @@ class Walks:
     sampled: int
     seed: int = 7
 
-    def sampled_places(self, walk: int) -> Iterator[tuple[list[int], np.ndarray]]:
+    @cache
+    def sampled_places(self, walk: int) -> list[tuple[list[int], np.ndarray]]:
         """For each table of a walk its places, one from each of as many equal stretches (places that cluster would meet any text), and their factors."""
         rng = np.random.default_rng((self.seed, self.steps, walk))
+        out = []
         for _ in range(walk, self.tables, WALKS):
             places = ((rng.random(self.sampled) + np.arange(self.sampled)) * self.steps / self.sampled).astype(int).tolist()
-            yield places, 2 * rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32) + 1
+            out.append((places, 2 * rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32) + 1))
+        return out
 
     def keys(self, walk: int, written: np.ndarray) -> Iterator[np.ndarray]:
         """For each table of a walk a 32-bit hash of the sampled places of every window."""
@@ -233,42 +236,62 @@ def _codes(text: str) -> np.ndarray:
 def _bounds(items: list[str], texts: list[str]) -> np.ndarray:
     pieces: dict[bytes, int] = {}
     number, owner, length = [], [], []
+    cut: dict[str, list[bytes]] = {}
     for k, item in enumerate(items):
-        codes = _codes(item)
-        for piece in np.array_split(codes, -(-len(codes) // PIECE)) if len(codes) else ():
-            number.append(pieces.setdefault(piece.tobytes(), len(pieces)))
+        if item not in cut:
+            codes = _codes(item)
+            cut[item] = [piece.tobytes() for piece in np.array_split(codes, -(-len(codes) // PIECE))] if len(codes) else []
+        for piece in cut[item]:
+            number.append(pieces.setdefault(piece, len(pieces)))
             owner.append(k)
             length.append(len(piece))
     number, owner, length = np.array(number, np.int64), np.array(owner, np.int64), np.array(length, np.int64)
     # a piece has the high bits of its vector; the bits below match anything and cost nothing
-    where = np.zeros((len(pieces), 256), np.uint64)
-    for p, piece in enumerate(pieces):
-        free = 64 - len(piece)
-        where[p] = (1 << free) - 1
-        for k, c in enumerate(piece):
-            where[p, c] |= np.uint64(1 << (free + k))
+    sizes = np.array([len(piece) for piece in pieces], np.int64)
+    free = (64 - sizes).astype(np.uint64)
+    one = np.uint64(1)
+    where = np.repeat(((one << free) - one)[:, None], 256, axis=1)
+    bits = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    np.bitwise_or.at(where, (np.repeat(np.arange(len(sizes)), sizes), np.frombuffer(b"".join(pieces), np.uint8)), one << (np.repeat(free, sizes) + bits.astype(np.uint64)))
     width = max(map(len, texts))
     grid = np.zeros((len(texts), width), np.uint8)
     for k, text in enumerate(texts):
         grid[k, : len(text)] = _codes(text)
-    columns = np.ascontiguousarray(grid.T)
-    one, where = np.uint64(1), where.reshape(-1)
+    columns, where = np.ascontiguousarray(grid.T), where.reshape(-1)
     up = ~np.uint64(0) << (64 - length).astype(np.uint64)
     down = np.zeros(len(number), np.uint64)
-    score = length.astype(np.int32)
+    # no score is beyond PIECE
+    score = length.astype(np.int8)
     best, base = score.copy(), number * 256
+    eq, across, plus, minus = (np.empty_like(up) for _ in range(4))
+    at, char, grows = np.empty_like(base), np.empty(len(number), np.uint8), np.empty(len(number), bool)
     for column in columns:
-        eq = where.take(base + column.take(owner))
-        across = (((eq & up) + up) ^ up) | eq | down
-        plus = down | ~(across | up)
-        minus = up & across
-        score += plus.view(np.int64) < 0
-        score -= minus.view(np.int64) < 0
+        column.take(owner, out=char, mode="clip")
+        np.add(base, char, out=at)
+        where.take(at, out=eq, mode="clip")
+        # across = (((eq & up) + up) ^ up) | eq | down
+        np.bitwise_and(eq, up, out=across)
+        across += up
+        across ^= up
+        across |= eq
+        across |= down
+        # plus = down | ~(across | up), minus = up & across
+        np.bitwise_or(across, up, out=plus)
+        np.invert(plus, out=plus)
+        plus |= down
+        np.bitwise_and(up, across, out=minus)
+        np.less(plus.view(np.int64), 0, out=grows)
+        score += grows.view(np.int8)
+        np.less(minus.view(np.int64), 0, out=grows)
+        score -= grows.view(np.int8)
         np.minimum(best, score, out=best)
         plus <<= one
         minus <<= one
-        up = minus | ~(across | plus)
-        down = plus & across
+        # up = minus | ~(across | plus), down = plus & across
+        np.bitwise_or(across, plus, out=up)
+        np.invert(up, out=up)
+        up |= minus
+        np.bitwise_and(plus, across, out=down)
     return np.bincount(owner, best, len(items)).astype(np.int64)
 
 
