@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -597,3 +598,38 @@ def test_ids_are_dropped(docs, spark):
         left = without_ids(docs, gone, broadcast_rows=bound)
         assert left.columns == docs.columns and left.filter("doc_id = 3").isEmpty()
         assert left.filter(F.col("doc_id").isNull()).count() == 2
+
+
+def decontamination_case(rng):
+    """Items of each class of lengths, one of them twice, and batches of texts that hold them with some edits."""
+    letters = "abcdefghijklmnopqrstuvwxyzé漢"
+    free = lambda n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    items = [(k, free((3, 10, 30, 90)[k % 4])) for k in range(24)]
+    items.append(items[7])
+    kinds = [decontaminate.Walks(decontaminate.tables_for(0.95, decontaminate.UNEQUAL, sampled), steps, sampled) for _, steps, sampled in decontaminate.CLASSES]
+    indexes = [decontaminate.Index.build(items, walks, least, below, least == 0) for walks, least, below in zip(kinds, (0, 40, 96), (40, 96, 1 << 62))]
+    texts = [free(5) + "! " + rng.choice(items)[1].replace("e", "", 2) + " " + free(5) + "\n" + rng.choice(items)[1].upper() for _ in range(60)] + ["", free(40)]
+    return items, indexes, texts
+
+
+def test_filters_stay_small():
+    """At most 16 bytes a window in a table's filter (or 8 KB), so that the filters of a block of items fit a processor's cache."""
+    _, indexes, _ = decontamination_case(random.Random(3))
+    for index in indexes:
+        assert len(index.may) == index.walks.tables and all(may.nbytes <= max(1 << 13, 16 * len(index.owner)) for may in index.may)
+
+
+@pytest.mark.parametrize("held", [1, 5_000, decontaminate.SCANNED])
+def test_looks_are_bounded_over_slices(monkeypatch, held):
+    """However many looks are held back, all slices give what each gives alone; those of small batches are bounded in one go."""
+    _, indexes, texts = decontamination_case(random.Random(5))
+    flat = [t.encode() for t in texts]
+    raw, offsets = np.frombuffer(b"".join(flat), np.uint8), np.cumsum([0] + [len(t) for t in flat])
+    want = sorted((doc % 7, item, distance, start, stop) for doc, (item, _), distance, start, stop in decontaminate.find_in(indexes, raw, offsets, 0.8))
+    calls, bound = [], decontaminate.edits_at_least
+    monkeypatch.setattr(decontaminate, "HELD", held)
+    monkeypatch.setattr(decontaminate, "edits_at_least", lambda *a: calls.append(1) or bound(*a))
+    batches = (pa.RecordBatch.from_pydict({"doc_id": [k % 7 for k in range(a, min(a + 9, len(texts)))], "text": texts[a : a + 9]}) for a in range(0, len(texts), 9))
+    got = [tuple(r[c] for c in ("doc_id", "item_id", "distance", "start", "stop")) for out in decontaminate.search_batches(indexes, batches, 0.8) for r in out.to_pylist()]
+    assert sorted(got) == want and len(want) > 100
+    assert (len(calls) == 1) == (held == decontaminate.SCANNED)

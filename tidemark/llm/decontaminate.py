@@ -48,6 +48,10 @@ FAR = 0.25
 #: Characters of an item in one bit vector, and characters that the lower bound scans at once, over all vectors.
 PIECE = 64
 SCANNED = 1 << 21
+#: Characters to scan, over all vectors, for which looks are held back.
+HELD = 1 << 21
+#: What a table's filter holds where different bytes meet.
+ANY = 255
 BLOCK_ITEMS = 10_000
 BLOCK_CHARS = 8 << 20
 
@@ -114,43 +118,50 @@ class Walks:
     seed: int = 7
 
     @cache
-    def sampled_places(self, walk: int) -> list[tuple[list[int], np.ndarray]]:
-        """For each table of a walk its places, one from each of as many equal stretches (places that cluster would meet any text), and their factors."""
+    def sampled_places(self, walk: int) -> list[list[int]]:
+        """For each table of a walk its places, one from each of as many equal stretches (places that cluster would meet any text)."""
         rng = np.random.default_rng((self.seed, self.steps, walk))
         out = []
         for _ in range(walk, self.tables, WALKS):
-            places = ((rng.random(self.sampled) + np.arange(self.sampled)) * self.steps / self.sampled).astype(int).tolist()
-            out.append((places, 2 * rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32) + 1))
+            out.append(((rng.random(self.sampled) + np.arange(self.sampled)) * self.steps / self.sampled).astype(int).tolist())
+            # so much was drawn between tables when their recall was measured
+            rng.integers(0, 1 << 31, self.sampled, dtype=np.uint32)
         return out
 
     def keys(self, walk: int, written: np.ndarray) -> Iterator[np.ndarray]:
-        """For each table of a walk a 32-bit hash of the sampled places of every window."""
-        part = np.empty(written.shape[1], np.uint32)
-        for where, factors in self.sampled_places(walk):
-            key = np.zeros(written.shape[1], np.uint32)
-            for t, f in zip(where, factors):
-                np.multiply(written[t], f, out=part)
-                key += part
-            # the low bits of the sum see only the low bits of the characters
-            key ^= key >> np.uint32(15)
+        """For each table of a walk a 32-bit hash of the sampled places of every window, in an array that the next one overwrites.
+
+        Its high bits see all bits of the characters, its lowest only their lowest.
+        """
+        key = np.empty(written.shape[1], np.uint32)
+        for where in self.sampled_places(walk):
+            key[:] = written[where[0]]
+            for t in where[1:]:
+                key += written[t]
             yield key
 
 
 def walked(text: np.ndarray, starts: np.ndarray, walk: int, steps: int, seed: int = 7) -> np.ndarray:
     """What a walk writes from each start, a row per step; shorter walks are its beginning.
 
+    A character is written as its product with the step's odd factor, so that hashes are plain sums.
     Whether a step moves on is the top bit of a random function of the character, in eight-bit arithmetic.
     """
-    moves = _moves(walk, seed)
+    moves, factors = _moves(walk, seed), _factors(walk, seed)
     written = np.empty((steps, len(starts)), np.uint32)
-    place = starts.copy()
+    place, char = starts.copy(), np.empty(len(starts), np.uint8)
     for t in range(steps):
-        char = text.take(place, mode="clip")
-        written[t] = char
+        text.take(place, out=char, mode="clip")
+        np.multiply(char, factors[t], out=written[t])
         place += _bit(char, *moves[t])
     return written
 
 
+@cache
+def _factors(walk: int, seed: int) -> np.ndarray:
+    return 2 * np.random.default_rng((seed, walk, PAD)).integers(0, 1 << 31, PAD, dtype=np.uint32) + 1
+
+
 def _bit(char: np.ndarray, term: np.uint8, first: np.uint8, second: np.uint8) -> np.ndarray:
     char += term
     char *= first
@@ -250,19 +261,25 @@ def _bounds(items: list[str], texts: list[str]) -> np.ndarray:
     sizes = np.array([len(piece) for piece in pieces], np.int64)
     free = (64 - sizes).astype(np.uint64)
     one = np.uint64(1)
-    where = np.repeat(((one << free) - one)[:, None], 256, axis=1)
+    joined = np.frombuffer(b"".join(pieces), np.uint8)
+    # characters by their number among those of the pieces, 0 for all others, so that the vectors of a piece lie close together
+    used = np.unique(joined)
+    spare = int(len(used) < 256)
+    rank = np.zeros(256, np.uint8)
+    rank[used] = np.arange(len(used)) + spare
+    where = np.repeat(((one << free) - one)[:, None], len(used) + spare, axis=1)
     bits = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    np.bitwise_or.at(where, (np.repeat(np.arange(len(sizes)), sizes), np.frombuffer(b"".join(pieces), np.uint8)), one << (np.repeat(free, sizes) + bits.astype(np.uint64)))
+    np.bitwise_or.at(where, (np.repeat(np.arange(len(sizes)), sizes), rank[joined]), one << (np.repeat(free, sizes) + bits.astype(np.uint64)))
     width = max(map(len, texts))
     grid = np.zeros((len(texts), width), np.uint8)
     for k, text in enumerate(texts):
         grid[k, : len(text)] = _codes(text)
-    columns, where = np.ascontiguousarray(grid.T), where.reshape(-1)
+    columns, where = rank.take(np.ascontiguousarray(grid.T)), where.reshape(-1)
     up = ~np.uint64(0) << (64 - length).astype(np.uint64)
     down = np.zeros(len(number), np.uint64)
     # no score is beyond PIECE
     score = length.astype(np.int8)
-    best, base = score.copy(), number * 256
+    best, base = score.copy(), number * (len(used) + spare)
     eq, across, plus, minus = (np.empty_like(up) for _ in range(4))
     at, char, grows = np.empty_like(base), np.empty(len(number), np.uint8), np.empty(len(number), bool)
     for column in columns:
@@ -305,6 +322,9 @@ class Index:
     """Windows of a block of items by table, and of short items the hash of all their words by number of words.
 
     ``begin`` counts the bytes of the item before each window, ``sizes`` those of an item.
+    A table has its distinct ``keys`` and for each its first place in ``order`` (a row per
+    table), where the windows of a key stand together. ``may`` is a table's filter: by the
+    high bits of a key its low byte, small enough to stay in the processor's cache.
     """
 
     items: tuple[tuple[int, str], ...]
@@ -312,7 +332,8 @@ class Index:
     owner: np.ndarray
     begin: np.ndarray
     keys: tuple[np.ndarray, ...]
-    order: tuple[np.ndarray, ...]
+    first: tuple[np.ndarray, ...]
+    order: np.ndarray
     may: tuple[np.ndarray, ...]
     walked: tuple[np.ndarray, ...]
     sizes: tuple[int, ...]
@@ -341,47 +362,79 @@ class Index:
             kept.append((item_id, plain, base, norm))
             base += len(norm)
         if not kept:
-            return Index((), walks, *(np.zeros(0, np.int64),) * 2, (), (), (), (), (), ())
+            return Index((), walks, *(np.zeros(0, np.int64),) * 2, (), (), np.zeros((0, 0), np.int32), (), (), (), ())
         text = np.concatenate(texts)
         at = np.concatenate([s + k[2] for s, k in zip(starts, kept)])
         begin = np.concatenate([s - int(k[3][0] == 0x20) for s, k in zip(starts, kept)])
-        places = 1 << max(16, (32 * len(at) - 1).bit_length())
-        keys, order, may, wrote = [], [], [], []
+        keys, first, order, may, wrote = [], [], [], [], []
         for walk in range(WALKS):
             written = walked(text, at, walk, walks.steps)
-            wrote.append(written.T.astype(np.uint8))
+            # the low byte of a product with an odd number tells characters apart
+            wrote.append(written.astype(np.uint8))
             for key in walks.keys(walk, written):
-                o = np.argsort(key, kind="stable")
-                yes = np.zeros(places, bool)
-                yes[key & np.uint32(places - 1)] = True
-                keys.append(key[o])
-                order.append(o.astype(np.int32))
-                may.append(yes)
+                distinct, counts = np.unique(key, return_counts=True)
+                keys.append(distinct)
+                first.append(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                order.append(np.argsort(key, kind="stable").astype(np.int32))
+                high = max(13, (8 * len(distinct)).bit_length())
+                slot, low = distinct >> np.uint32(32 - high), distinct.astype(np.uint8)
+                held = np.zeros(1 << high, np.uint8)
+                held[slot] = low
+                held[slot[held[slot] != low]] = ANY
+                may.append(held)
         runs = []
         for length, pairs in sorted(whole.items()):
             pairs.sort()
             runs.append((length, np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs])))
-        return Index(tuple((k[0], k[1]) for k in kept), walks, np.concatenate(owner), begin, tuple(keys), tuple(order), tuple(may), tuple(wrote), tuple(len(k[1].encode()) for k in kept), tuple(runs))
-
-    def candidates(self, walk: int, written: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(number of a start, number of an item's window) that agree in some table of a walk, as far as they are not FAR."""
-        written = written[: self.walks.steps]
-        first = sum(len(range(w, self.walks.tables, WALKS)) for w in range(walk))
-        for k, key in enumerate(self.walks.keys(walk, written), first):
-            keys, order, may = self.keys[k], self.order[k], self.may[k]
-            who = np.flatnonzero(may.take(key & np.uint32(len(may) - 1)))
+        return Index(tuple((k[0], k[1]) for k in kept), walks, np.concatenate(owner), begin, tuple(keys), tuple(first), np.stack(order), tuple(may), tuple(wrote), tuple(len(k[1].encode()) for k in kept), tuple(runs))
+
+    def candidates(self, walk: int, written: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of starts and of an item's windows, pair by pair, that agree in some table of a walk, as far as they are not FAR."""
+        written, windows = written[: self.walks.steps], len(self.owner)
+        near: list[np.ndarray] = []
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        pairs = 0
+        n = written.shape[1]
+        slot, low, held, passed, several = np.empty(n, np.int64), np.empty(n, np.uint8), np.empty(n, np.uint8), np.empty(n, bool), np.empty(n, bool)
+        before = sum(len(range(w, self.walks.tables, WALKS)) for w in range(walk))
+        for k, key in enumerate(self.walks.keys(walk, written) if windows else (), before):
+            keys, first, may = self.keys[k], self.first[k], self.may[k]
+            np.right_shift(key, np.uint32(33 - len(may).bit_length()), out=slot)
+            may.take(slot, out=held, mode="clip")
+            low[:] = key
+            np.equal(held, low, out=passed)
+            np.equal(held, ANY, out=several)
+            passed |= several
+            who = passed.nonzero()[0]
             asked = key[who]
-            a = np.searchsorted(keys, asked)
-            hit = keys.take(a, mode="clip") == asked
-            who, a, asked = who[hit], a[hit], asked[hit]
-            many = np.searchsorted(keys, asked, "right") - a
-            # every window with each of the item windows of its key
-            who = np.repeat(who, many)
-            other = order[np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(a, many)]
-            for part in range(0, len(who), CHUNK):
-                w, o = who[part : part + CHUNK], other[part : part + CHUNK]
-                near = np.count_nonzero(written[:, w].T != self.walked[walk][o], axis=1) <= FAR * self.walks.steps
-                yield from zip(w[near].tolist(), o[near].tolist())
+            a = keys.searchsorted(asked)
+            hit = (keys.take(a, mode="clip") == asked).nonzero()[0]
+            if not len(hit):
+                continue
+            a = a[hit]
+            many = first[a + 1] - first[a]
+            met.append((who[hit], first[a] + np.int64(k * windows), many))
+            pairs += int(many.sum())
+            if pairs >= CHUNK:
+                near.append(self._near(walk, written, met))
+                met, pairs = [], 0
+        if met:
+            near.append(self._near(walk, written, met))
+        return np.divmod(np.concatenate(near) if near else np.zeros(0, np.int64), max(1, windows))
+
+    def _near(self, walk: int, written: np.ndarray, met: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Numbers of the pairs that are not FAR, of starts with so many windows each from a place of ``order``."""
+        who, first, many = (np.concatenate(x) for x in zip(*met))
+        ends = np.cumsum(many)
+        pairs = np.repeat(who, many) * len(self.owner) + self.order.take(np.arange(ends[-1]) + np.repeat(first - ends + many, many))
+        out = []
+        for part in range(0, len(pairs), CHUNK):
+            # a near pair agrees in many tables
+            some = np.unique(pairs[part : part + CHUNK])
+            w, o = np.divmod(some, len(self.owner))
+            unequal = np.count_nonzero(written.take(w, axis=1).astype(np.uint8) != self.walked[walk].take(o, axis=1), axis=0)
+            out.append(some[unequal <= FAR * self.walks.steps])
+        return np.concatenate(out)
 
     def copies(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         """(place, number of an item) of all runs of words that are a short item."""
@@ -392,59 +445,132 @@ class Index:
                 yield from ((int(at[k]), int(o)) for o in owner[a[k] : b[k]])
 
 
+@dataclass(slots=True)
+class Look:
+    """A stretch of a text to hold against an item.
+
+    ``number`` is the item's among all of its block. ``points`` has for each byte of the
+    stretch how many code points of the original stand before it, ``base`` of them in earlier texts.
+    """
+
+    doc: int
+    number: tuple[int, int]
+    item: tuple[int, str]
+    most: int
+    near: str
+    points: np.ndarray
+    base: int
+
+    @property
+    def scanned(self) -> int:
+        return -(-len(self.item[1]) // PIECE) * len(self.near)
+
+
 def find_in(indexes: list[Index], raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
     """(text number, item, distance, start, end) of the best occurrence of each item in each text."""
+    return verified(list(looks_in(indexes, raw, offsets, similarity)), similarity)
+
+
+def looks_in(indexes: list[Index], raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[Look]:
+    """Where in each text an item may occur; looks at one text for one item follow each other."""
     text, back, ends = normalise(raw, offsets)
     starts = word_starts(text, ends)
-    found: list[set[tuple[int, int]]] = [set() for _ in indexes]
+    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in indexes]
     longest = max((index.walks.steps for index in indexes), default=0)
     # so many windows at a time stay in the processor's cache; a walk serves the tables of all lengths
     for first in range(0, len(starts), CHUNK):
         for walk in range(WALKS):
             written = walked(text, starts[first : first + CHUNK], walk, longest)
             for index, pairs in zip(indexes, found):
-                pairs.update((first + w, o) for w, o in index.candidates(walk, written))
+                who, window = index.candidates(walk, written)
+                pairs.append((starts[first + who], window))
+    # code points of the original text before each of its bytes
+    points = np.zeros(len(raw) + 1, np.int32 if len(raw) < 1 << 31 else np.int64)
+    np.cumsum((raw & 0xC0) != 0x80, out=points[1:])
+    bases, points = points[offsets].tolist(), points[back]
     for index, pairs in zip(indexes, found):
-        yield from _verified(index, pairs, text, back, ends, starts, raw, offsets, similarity)
-
-
-def _verified(index: Index, pairs: set[tuple[int, int]], text: np.ndarray, back: np.ndarray, ends: np.ndarray, starts: np.ndarray, raw: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
-    # places to look at: a text, an item, and where the item would begin
-    looks: dict[tuple[int, int], set[int]] = {}
-    owners = np.searchsorted(ends, starts, "right") - 1
-    for w, window in pairs:
-        item = int(index.owner[window])
-        looks.setdefault((int(owners[w]), item), set()).add(int(starts[w]) - int(index.begin[window]))
-    for at, item in index.copies(text, starts, ends):
-        looks.setdefault((int(np.searchsorted(ends, at, "right")) - 1, item), set()).add(at)
-    asked: list[tuple[int, int, int, str, int]] = []
-    for (doc, item), begins in sorted(looks.items()):
-        most = int((1 - similarity) * len(index.items[item][1]) + 1e-6)
-        slack, done = most + 2, None
-        for begin in sorted(begins):
-            if done is not None and begin <= done + slack // 2:
-                continue
-            done = begin
-            # an edit may be a letter of two bytes
-            lo, hi = max(int(ends[doc]), begin - 2 * slack), min(int(ends[doc + 1]), begin + index.sizes[item] + 3 * slack)
-            part = text[lo:hi].tobytes()
-            skip = 0
-            while skip < len(part) and part[skip] & 0xC0 == 0x80:
-                skip += 1
-            asked.append((doc, item, most, part[skip:].decode(errors="replace"), lo + skip))
-    least = edits_at_least([index.items[a[1]][1] for a in asked], [a[3] for a in asked])
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for (doc, item, most, near, at), bound in zip(asked, least.tolist()):
-        if bound > most:
+        yield from _looks(index, pairs, text, ends, starts, points, bases, similarity)
+
+
+def _looks(index: Index, pairs: list[tuple[np.ndarray, np.ndarray]], text: np.ndarray, ends: np.ndarray, starts: np.ndarray, points: np.ndarray, bases: list[int], similarity: float) -> Iterator[Look]:
+    copies = np.array(list(index.copies(text, starts, ends)), np.int64).reshape(-1, 2)
+    at = np.concatenate([s for s, _ in pairs] + [copies[:, 0]])
+    window = np.concatenate([w for _, w in pairs] + [np.zeros(0, np.int64)])
+    docs, items = np.searchsorted(ends, at, "right") - 1, np.concatenate([index.owner[window], copies[:, 1]])
+    # where the item would begin
+    begins = at - np.concatenate([index.begin[window], np.zeros(len(copies), np.int64)])
+    order = np.lexsort((begins, items, docs))
+    docs, items, begins = docs[order], items[order], begins[order]
+    other = np.ones(len(order), bool)
+    other[1:] = (docs[1:] != docs[:-1]) | (items[1:] != items[:-1])
+    new = other.copy()
+    new[1:] |= begins[1:] != begins[:-1]
+    limits = ends.tolist()
+    for doc, item, begin, fresh in zip(docs[new].tolist(), items[new].tolist(), begins[new].tolist(), other[new].tolist()):
+        if fresh:
+            known, size = index.items[item], index.sizes[item]
+            most = int((1 - similarity) * len(known[1]) + 1e-6)
+            slack = most + 2
+        elif begin <= done + slack // 2:
+            continue
+        done = begin
+        # an edit may be a letter of two bytes
+        lo, hi = max(limits[doc], begin - 2 * slack), min(limits[doc + 1], begin + size + 3 * slack)
+        part = text[lo:hi].tobytes()
+        skip = 0
+        while skip < len(part) and part[skip] & 0xC0 == 0x80:
+            skip += 1
+        yield Look(doc, (index.walks.steps, item), known, most, part[skip:].decode(errors="replace"), points[lo + skip : hi].copy(), bases[doc])
+
+
+def verified(looks: list[Look], similarity: float) -> Iterator[tuple[int, tuple[int, str], int, int, int]]:
+    """What of the looks is within the edits, the best of each text and item."""
+    least = edits_at_least([look.item[1] for look in looks], [look.near for look in looks])
+    best: dict[tuple[int, tuple[int, int]], tuple[int, tuple[int, str], int, int, int]] = {}
+    for look, bound in zip(looks, least.tolist()):
+        if bound > look.most:
             continue
-        distance, start, end = distance_within(index.items[item][1], near, most)
-        if distance <= most and ((doc, item) not in best or distance < best[doc, item][0]):
-            best[doc, item] = distance, at + len(near[:start].encode()), at + len(near[:end].encode())
-    for (doc, item), (distance, start, end) in best.items():
-        if len(index.items[item][1]) - distance >= similarity * len(index.items[item][1]):
-            source = raw[offsets[doc] : offsets[doc + 1]]
-            points = [int(np.count_nonzero((source[: int(b)] & 0xC0) != 0x80)) for b in (back[start] - offsets[doc], back[end - 1] + 1 - offsets[doc])]
-            yield doc, index.items[item], distance, *points
+        distance, start, end = distance_within(look.item[1], look.near, look.most)
+        place = look.doc, look.number
+        if distance <= look.most and len(look.item[1]) - distance >= similarity * len(look.item[1]) and (place not in best or distance < best[place][2]):
+            first, last = len(look.near[:start].encode()), len(look.near[: end - 1].encode())
+            best[place] = look.doc, look.item, distance, int(look.points[first]) - look.base, int(look.points[last]) + 1 - look.base
+    yield from best.values()
+
+
+def search_batches(indexes: list[Index], batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """What ``contaminated`` returns, of batches of doc_id and text.
+
+    Looks are held back over slices, up to HELD, so that many are bounded in step.
+    """
+    looks: list[Look] = []
+    ids: list[int | None] = []
+    scanned = 0
+    for batch in batches:
+        for part, raw, offsets in slices(batch, "text"):
+            row, number = -1, (0, 0)
+            for look in looks_in(indexes, raw, offsets, similarity) if len(raw) else ():
+                if (look.doc, look.number) != (row, number):
+                    row, number = look.doc, look.number
+                    if scanned >= HELD:
+                        yield from _judged(looks, ids, similarity)
+                        looks, ids, scanned = [], [], 0
+                    ids.append(part.column("doc_id")[row].as_py())
+                look.doc = len(ids) - 1
+                looks.append(look)
+                scanned += look.scanned
+    yield from _judged(looks, ids, similarity)
+
+
+def _judged(looks: list[Look], ids: list[int | None], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Findings of looks that count in ``doc`` the pairs of a text and an item, whose texts have these ids."""
+    rows = list(verified(looks, similarity))
+    if rows:
+        doc, item, distance, start, stop = zip(*rows)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([ids[d] for d in doc], pa.int64()), pa.array([i for i, _ in item], pa.int64()), pa.array(distance, pa.int64()), pa.array([1 - d / len(t) for d, (_, t) in zip(distance, item)]), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
+            names=["doc_id", "item_id", "distance", "similarity", "start", "stop"],
+        )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.95, unequal: float = UNEQUAL) -> DataFrame:
@@ -474,16 +600,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part, raw, offsets in slices(batch, "text"):
-                    rows = list(find_in(shared.value, raw, offsets, similarity)) if len(raw) else []
-                    if not rows:
-                        continue
-                    doc, item, distance, start, stop = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(doc)), pa.array([i for i, _ in item], pa.int64()), pa.array(distance, pa.int64()), pa.array([1 - d / len(t) for d, (_, t) in zip(distance, item)]), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
-                        names=["doc_id", "item_id", "distance", "similarity", "start", "stop"],
-                    )
+            yield from search_batches(shared.value, batches, similarity)
 
         parts.append(texts.mapInArrow(search, schema))
 
